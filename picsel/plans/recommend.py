@@ -67,6 +67,7 @@ class RecommendationRun:
     seed: str = K.DEFAULT_DRAW_SEED
     checkpoints: bool = True
     use_entity: bool = True
+    wikis: tuple[str, ...] | None = None  # restrict the articles to these wikis (the per-wiki loop)
 
     @classmethod
     def standin(cls, spark: SparkSession, sf_dir: str, **kw) -> "RecommendationRun":
@@ -79,16 +80,22 @@ class RecommendationRun:
         return materialize(P.placeholder_images(t.categorylinks, t.page, t.placeholder_category),
                            self.checkpoints)
 
+    def _local(self, df: DataFrame) -> DataFrame:
+        return df if self.wikis is None else df.where(F.col("wiki_db").isin(*self.wikis))
+
     @cached_property
     def illustrated(self) -> DataFrame:
         t = self.tables
-        icons = P.icon_images(t.imagelinks, P.icon_thresholds(P.wiki_size(t.page)))
-        return P.illustrated_pages(P.pages_with_images(t.imagelinks, icons), P.pages_with_lead_image(t.page_props))
+        links, page = self._local(t.imagelinks), self._local(t.page)
+        icons = P.icon_images(links, P.icon_thresholds(P.wiki_size(page)))
+        return P.illustrated_pages(P.pages_with_images(links, icons),
+                                   P.pages_with_lead_image(self._local(t.page_props)))
 
     @cached_property
     def unillustrated(self) -> DataFrame:
         t = self.tables
-        return materialize(P.unillustrated_pages(t.page, t.item_page_link, self.illustrated), self.checkpoints)
+        return materialize(P.unillustrated_pages(self._local(t.page), t.item_page_link, self.illustrated),
+                           self.checkpoints)
 
     @cached_property
     def claims(self) -> DataFrame:

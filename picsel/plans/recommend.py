@@ -8,6 +8,7 @@ stage, and it keeps each later plan small instead of re-inlining the shared subt
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -23,12 +24,20 @@ from picsel.sources.readers import snapshot_scan
 from picsel.sources.standins import FULL_DATE, MONTH, StandIns
 
 
-def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (never a local checkpoint)."""
+def materialize(df: DataFrame, enabled: bool = True, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a parquet stage table under ``spark.checkpoint.dir`` and read it back.
+
+    One job computes and writes (``Dataset.checkpoint`` would compute twice without a cache); the result
+    has no lineage, survives executor loss, and later scans get column pruning and filter pushdown.
+    Never a local checkpoint or a machine-local folder: the folder is the session's shared checkpoint dir.
+    """
     if not enabled:
         return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/picsel-stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 @dataclass
@@ -78,7 +87,7 @@ class RecommendationRun:
     def placeholders(self) -> DataFrame:
         t = self.tables
         return materialize(P.placeholder_images(t.categorylinks, t.page, t.placeholder_category),
-                           self.checkpoints)
+                           self.checkpoints, "placeholders")
 
     def _local(self, df: DataFrame) -> DataFrame:
         return df if self.wikis is None else df.where(F.col("wiki_db").isin(*self.wikis))
@@ -95,7 +104,7 @@ class RecommendationRun:
     def unillustrated(self) -> DataFrame:
         t = self.tables
         return materialize(P.unillustrated_pages(self._local(t.page), t.item_page_link, self.illustrated),
-                           self.checkpoints)
+                           self.checkpoints, "unillustrated")
 
     @cached_property
     def claims(self) -> DataFrame:
@@ -104,7 +113,7 @@ class RecommendationRun:
             out = P.item_claims(t.entity, self.unillustrated)
         else:
             out = P.item_claims_flat(t.claims_flat, t.labels_flat, self.unillustrated)
-        return materialize(out, self.checkpoints)
+        return materialize(out, self.checkpoints, "claims")
 
     @cached_property
     def pool(self) -> P.Pool:
@@ -115,13 +124,14 @@ class RecommendationRun:
             self.unillustrated.select("wiki_db", "item_id", "page_id"),
             P.item_lead_images(t.item_page_link, t.page_props, t.page, self.placeholders))
         cat_files = P.category_images(self.claims, t.categorylinks, t.page, self.placeholders)
-        return P.Pool(pages=materialize(pages, self.checkpoints),
-                      lead_images=materialize(leads, self.checkpoints),
-                      category_files=materialize(cat_files, self.checkpoints))
+        return P.Pool(pages=materialize(pages, self.checkpoints, "pool_pages"),
+                      lead_images=materialize(leads, self.checkpoints, "lead_images"),
+                      category_files=materialize(cat_files, self.checkpoints, "category_files"))
 
     @cached_property
     def numbered_category_images(self) -> DataFrame:
-        return materialize(P.numbered_category_images(self.pool.category_files), self.checkpoints)
+        return materialize(P.numbered_category_images(self.pool.category_files), self.checkpoints,
+                           "numbered_category_images")
 
     def pool_rows(self) -> DataFrame:
         """B13."""

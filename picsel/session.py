@@ -16,6 +16,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small local inputs: let AQE keep several post-shuffle tasks instead of coalescing to one
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
+                os.environ.get("PICSEL_MIN_PARTITION_SIZE", "64k"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

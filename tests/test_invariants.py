@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from picsel.operators import metrics as E
 from picsel.operators import pool as P
-from picsel.plans.recommend import RecommendationRun
+from picsel.plans.recommend import RecommendationRun, materialize
 from picsel.plans.registry import run_for
 from conftest import SF_SMALL, same_rows
 
@@ -40,7 +40,7 @@ def test_independent_of_partition_count(spark):
             spark.conf.set("spark.sql.shuffle.partitions", n)
             run = RecommendationRun.standin(spark, SF_SMALL)
             results.append(run.top_candidates())
-            results[-1] = results[-1].checkpoint(eager=True)
+            results[-1] = materialize(results[-1], name="top")
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert same_rows(results[0], results[1])

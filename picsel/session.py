@@ -20,6 +20,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize",
                 os.environ.get("PICSEL_MIN_PARTITION_SIZE", "64k"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # broadcast only what AQE has measured at runtime, never a plan-time size estimate
+        .config("spark.sql.autoBroadcastJoinThreshold", os.environ.get("PICSEL_STATIC_BROADCAST", "-1"))
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

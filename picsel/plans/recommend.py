@@ -19,7 +19,7 @@ from picsel import constants as K
 from picsel.operators import pool as P
 from picsel.operators import publish as D
 from picsel.operators import selection as S
-from picsel.session import ensure_checkpoint_dir
+from picsel.session import application_id, ensure_checkpoint_dir
 from picsel.sources.readers import snapshot_scan
 from picsel.sources.standins import FULL_DATE, MONTH, StandIns
 
@@ -35,7 +35,7 @@ def materialize(df: DataFrame, enabled: bool = True, name: str = "stage") -> Dat
         return df
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/picsel-stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/picsel-stages/{application_id(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

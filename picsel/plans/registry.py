@@ -21,6 +21,7 @@ from picsel.operators import publish as D
 from picsel.operators import selection as S
 from picsel.plans import oracle as O
 from picsel.plans.recommend import RecommendationRun
+from picsel.session import application_id
 from picsel.sources.readers import snapshot_scan, target_wikis
 from picsel.sources.standins import FULL_DATE, MONTH, StandIns
 
@@ -29,7 +30,7 @@ _RUNS: dict[tuple[str, str], RecommendationRun] = {}
 
 def run_for(spark: SparkSession, sf_dir: str) -> RecommendationRun:
     """One staged run per (application, data folder); its checkpoints are shared by all queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (application_id(spark), sf_dir)
     if key not in _RUNS:
         _RUNS[key] = RecommendationRun.standin(spark, sf_dir)
     return _RUNS[key]
@@ -366,6 +367,10 @@ def _q_found_on_median(spark, sf):
     return E.median(E.found_on_sizes(_p(spark, sf), MONTH), "num_languages")
 
 
+def _q_found_on_approx_median(spark, sf):
+    return E.approx_median(E.found_on_sizes(_p(spark, sf), MONTH), "num_languages", 0.25)
+
+
 def _q_box_stats_records(spark, sf):
     return E.box_stats(E.images_per_page(_p(spark, sf), MONTH), "n_images")
 
@@ -479,6 +484,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "found_on_histogram": _q_found_on_histogram,
     "found_on_describe": _q_found_on_describe,
     "found_on_median": _q_found_on_median,
+    "found_on_approx_median": _q_found_on_approx_median,
     "box_stats_records": _q_box_stats_records,
     "box_stats_found_on": _q_box_stats_found_on,
     "snapshot_counts": _q_snapshot_counts,

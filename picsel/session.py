@@ -41,11 +41,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster it names a shared folder and is used as is. Only when it is unset (local tests) a fresh
     scratch folder is created and set.
     """
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="picsel-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        current = current or sc.getCheckpointDir()
+    except Exception:  # noqa: BLE001  (no SparkContext on a Connect session)
+        sc = None
+    if not current:
+        current = tempfile.mkdtemp(prefix="picsel-ckpt-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", current)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
+
+
+def application_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return spark.conf.get("spark.app.id", "app")

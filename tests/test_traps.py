@@ -197,3 +197,23 @@ def test_item_image_keeps_spaces_and_drops_flags(spark):
                                   "wiki_db string, page_id bigint, hasimage string")
     out = S.item_image_candidates(pages).collect()
     assert [(r.page_id, r.image, r.rating) for r in out] == [(1, "A b.jpg", 1.0)]
+
+
+def test_schema_gate(spark, raw_data):
+    import pytest
+    from picsel.schemas import RAW_SCHEMA, require_schema
+    require_schema(raw_data, RAW_SCHEMA)
+    with pytest.raises(AttributeError):
+        require_schema(raw_data.drop("snapshot"), RAW_SCHEMA)
+    with pytest.raises(AttributeError):
+        D.production_rows(raw_data.withColumn("page_id", F.col("page_id").cast("int")))
+    # building schemas never widens a shared one
+    from picsel.schemas import CSV_SCHEMA
+    assert len(CSV_SCHEMA.fields) == 6 and len(RAW_SCHEMA.fields) == 8
+
+
+def test_approx_median_close_to_exact(spark):
+    df = spark.createDataFrame([(i,) for i in range(1, 101)], "n bigint")
+    exact = E.median(df, "n").collect()[0][0]
+    approx = E.approx_median(df, "n", 0.01).collect()[0][0]
+    assert abs(exact - 50.5) < 1e-9 and abs(approx - 50.5) <= 1

@@ -168,7 +168,3 @@ class RecommendationRun:
     def production_table(self, dataset_id: str, insertion_ts: float) -> DataFrame:
         """D10 transform half."""
         return D.production_table(self.production_rows(), self.snapshot, dataset_id, insertion_ts)
-
-
-def all_snapshot_filter(df: DataFrame, snapshot: str) -> DataFrame:
-    return df.where(F.col("snapshot") == snapshot)

@@ -23,7 +23,7 @@ from picsel.plans import oracle as O
 from picsel.plans.recommend import RecommendationRun
 from picsel.session import application_id
 from picsel.sources.readers import snapshot_scan, target_wikis
-from picsel.sources.standins import FULL_DATE, MONTH, StandIns
+from picsel.sources.standins import MONTH, StandIns
 
 _RUNS: dict[tuple[str, str], RecommendationRun] = {}
 

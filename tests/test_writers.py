@@ -79,3 +79,20 @@ def test_streaming_publish_matches_batch(spark, scratch):
     q.awaitTermination(300)
     assert spark.read.parquet(scratch + "/prod").count() == batch.count()
     assert RAW_SCHEMA.fieldNames()[-2:] == ["wiki_db", "snapshot"]
+
+
+def test_full_job_writes_every_output(spark, scratch):
+    import os as _os
+    from picsel.plans.job import run_job
+    from picsel.plans.recommend import RecommendationRun
+    run = RecommendationRun.standin(spark, SF_SMALL)
+    timings = run_job(spark, run, scratch + "/out", "2021-01-25", "ds", 1.0)
+    assert "production" in timings and "report:export_summary" in timings
+    for sub in ("imagerec", "imagerec_prod", "search_imagerec", "exports/2021-01", "exports_android/2021-01",
+                "serving/2021-01", "reports/2021-01/records_per_wiki"):
+        assert _os.path.isdir(f"{scratch}/out/{sub}"), sub
+    prod = spark.read.parquet(scratch + "/out/imagerec_prod")
+    assert same_rows(prod.select(*run.production_table("ds", 1.0).columns), run.production_table("ds", 1.0))
+    search = spark.read.parquet(scratch + "/out/search_imagerec")
+    assert sorted(r.wikiid for r in search.select("wikiid").distinct().collect()) == [
+        "arwiki", "enwiki", "frwiki", "kowiki"]

@@ -40,6 +40,19 @@ def materialize(df: DataFrame, enabled: bool = True, name: str = "stage") -> Dat
     return spark.read.parquet(path)
 
 
+def materialize_all(frames: dict[str, DataFrame], enabled: bool = True) -> dict[str, DataFrame]:
+    """Materialise independent frames as concurrent Spark jobs (one driver thread per frame).
+
+    The jobs share the cluster; small stages of one job overlap with those of the others.
+    """
+    if not enabled:
+        return dict(frames)
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(4, len(frames))) as pool:
+        futures = {name: pool.submit(materialize, df, True, name) for name, df in frames.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 @dataclass
 class SourceTables:
     """The snapshot tables one run reads (already restricted to the run's snapshots)."""
@@ -106,8 +119,19 @@ class RecommendationRun:
         return materialize(P.unillustrated_pages(self._local(t.page), t.item_page_link, self.illustrated),
                            self.checkpoints, "unillustrated")
 
+    def _prefetch(self, *names: str) -> None:
+        """Evaluate independent stage properties as concurrent jobs (different attributes per thread)."""
+        todo = [n for n in names if n not in self.__dict__]
+        if len(todo) < 2 or not self.checkpoints:
+            return
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            for f in [pool.submit(getattr, self, n) for n in todo]:
+                f.result()
+
     @cached_property
     def claims(self) -> DataFrame:
+        self._prefetch("placeholders", "unillustrated")
         t = self.tables
         if self.use_entity and t.entity is not None:
             out = P.item_claims(t.entity, self.unillustrated)
@@ -124,9 +148,10 @@ class RecommendationRun:
             self.unillustrated.select("wiki_db", "item_id", "page_id"),
             P.item_lead_images(t.item_page_link, t.page_props, t.page, self.placeholders))
         cat_files = P.category_images(self.claims, t.categorylinks, t.page, self.placeholders)
-        return P.Pool(pages=materialize(pages, self.checkpoints, "pool_pages"),
-                      lead_images=materialize(leads, self.checkpoints, "lead_images"),
-                      category_files=materialize(cat_files, self.checkpoints, "category_files"))
+        done = materialize_all({"pool_pages": pages, "lead_images": leads, "category_files": cat_files},
+                               self.checkpoints)
+        return P.Pool(pages=done["pool_pages"], lead_images=done["lead_images"],
+                      category_files=done["category_files"])
 
     @cached_property
     def numbered_category_images(self) -> DataFrame:

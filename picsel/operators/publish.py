@@ -125,6 +125,15 @@ def _dynamic(writer):
     return writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
+def _by_partition(df: DataFrame, cols: list[str], files_per_partition: int = 1, salt_col: str = "page_id"):
+    """One task (and file) per output partition, or ``files_per_partition`` tasks for a very large wiki:
+    rows are then spread by a hash of ``salt_col`` inside each partition."""
+    keys = [F.col(c) for c in cols]
+    if files_per_partition > 1 and salt_col in df.columns:
+        keys.append(F.pmod(F.xxhash64(salt_col), F.lit(files_per_partition)))
+    return df.repartition(*keys)
+
+
 def write_candidates(cands_raw: DataFrame, path: str) -> None:
     """Candidates as TSV with a header, one folder per wiki (top_candidates as JSON text)."""
     cols = ["pandas_idx", "item_id", "page_id", "page_title", "top_candidates", "instance_of", "wiki_db"]
@@ -135,16 +144,21 @@ def write_candidates(cands_raw: DataFrame, path: str) -> None:
     )
 
 
-def publish_raw(raw: DataFrame, path: str) -> None:
+def publish_raw(raw: DataFrame, path: str, files_per_partition: int = 1) -> None:
     """Raw rows as parquet partitioned by wiki_db, snapshot."""
-    _dynamic(raw.repartition("wiki_db", "snapshot").write.partitionBy("wiki_db", "snapshot")).parquet(path)
+    (
+        _dynamic(_by_partition(raw, ["wiki_db", "snapshot"], files_per_partition)
+                 .write.partitionBy("wiki_db", "snapshot"))
+        .parquet(path)
+    )
 
 
-def publish_production(prod: DataFrame, path: str) -> None:
+def publish_production(prod: DataFrame, path: str, files_per_partition: int = 1) -> None:
     """D10 (write half): one file per (wiki, snapshot), sorted by page_title desc inside it."""
     (
         _dynamic(
-            prod.repartition("wiki", "snapshot").sortWithinPartitions(F.col("page_title").desc())
+            _by_partition(prod, ["wiki", "snapshot"], files_per_partition)
+            .sortWithinPartitions(F.col("page_title").desc())
             .write.partitionBy("wiki", "snapshot"))
         .parquet(path)
     )

@@ -96,3 +96,18 @@ def test_full_job_writes_every_output(spark, scratch):
     search = spark.read.parquet(scratch + "/out/search_imagerec")
     assert sorted(r.wikiid for r in search.select("wikiid").distinct().collect()) == [
         "arwiki", "enwiki", "frwiki", "kowiki"]
+
+
+def test_salted_files_per_partition(spark, scratch):
+    run = run_for(spark, SF_SMALL)
+    prod = run.production_table("ds", 1.0)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        D.publish_production(prod, scratch + "/prod", files_per_partition=3)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    parts = glob.glob(scratch + "/prod/wiki=*/snapshot=*")
+    files = [len(glob.glob(p + "/*.parquet")) for p in parts]
+    assert parts and max(files) > 1 and max(files) <= 3
+    assert same_rows(spark.read.parquet(scratch + "/prod").select(*prod.columns), prod)

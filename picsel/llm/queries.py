@@ -85,7 +85,7 @@ _QUALITY_SQL = rf"""
 WITH t AS (
   SELECT doc_id, row_number() OVER () AS k, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents),
 grams AS (SELECT k, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
 again AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, g) AS n FROM grams) WHERE n > 1),
@@ -96,7 +96,7 @@ m AS (
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
          len(lines)::BIGINT AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
          length(regexp_replace(text, '[^a-z]', '', 'g')) AS n_lower, length(regexp_replace(text, '[^!]', '', 'g')) AS n_bangs,
-         len(list_filter(w, x -> lower(trim(x, '{_PUNCTUATION}')) IN ({_ABUSIVE_LIST}))) AS n_abusive
+         len(list_filter(w, lambda x: lower(trim(x, '{_PUNCTUATION}')) IN ({_ABUSIVE_LIST}))) AS n_abusive
   FROM t LEFT JOIN covered USING (k)),
 f AS (SELECT *, ({_FAILED})::BIGINT AS failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & {quality.mask(quality.POLICIES["base"])} <> 0 AS base_failed,

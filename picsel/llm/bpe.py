@@ -6,9 +6,10 @@ without ASCII white space (the tokenizer splits further inside them, at other sp
 1. Spark cuts the documents into blocks of bounded text. A block keeps its distinct words and, for each document, the
    positions of its words in that list (by falling frequency, as a compressed byte-plane array). Blocks are written as a
    table bucketed by block.
-2. The words of all blocks meet by hash bucket; each distinct word is encoded once. Its ids join the vocabulary by id
-   (a table of fixed size, broadcast), which gives the pieces it decodes to.
-3. Each bucket sends its blocks the ids and pieces of their words, and the documents are put together by position.
+2. The words of all blocks meet by hash bucket; each distinct word is encoded once.
+3. Each bucket sends its blocks the ids of their words, which join the blocks by position. The ids of a block's words join
+   the vocabulary by id: a table of fixed size (the model's), broadcast, so that pieces need no shuffle. The documents are
+   put together from both by position.
 
 What meets in a task is a block or a bucket, both of bounded size; a frequent word counts once a block.
 
@@ -66,11 +67,10 @@ def read_model(path: str) -> str:
         return f.read()
 
 
-def pieces(spark, model: str) -> DataFrame:
-    """The vocabulary: ``id, piece``."""
+def pieces(model: str) -> dict[int, bytes]:
+    """The vocabulary: the piece of each id."""
     from tokenizers import Tokenizer
-    vocab = Tokenizer.from_str(model).get_vocab(with_added_tokens=True)
-    return spark.createDataFrame(pa.table({"id": pa.array(list(vocab.values()), pa.int32()), "piece": pa.array(list(vocab), pa.string())}))
+    return {i: p.encode("utf-8") for p, i in Tokenizer.from_str(model).get_vocab(with_added_tokens=True).items()}
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -84,13 +84,13 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
-_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("counts", pa.binary()), ("positions", pa.binary()), ("words", pa.binary())])
-_BLOCK_DDL = "block long, ids array<long>, counts binary, positions binary, words binary"
+_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("counts", pa.binary()), ("positions", pa.binary()), ("words", pa.binary()), ("n_words", pa.int64())])
+_BLOCK_DDL = "block long, ids array<long>, counts binary, positions binary, words binary, n_words long"
 
 
 def _to_blocks(block_bytes: int):
     def run(it):
-        part, made = TaskContext.get().partitionId(), 0
+        part, made, pack = TaskContext.get().partitionId(), 0, zstandard.ZstdCompressor(level=3)
         ids, counts, arrays, known, size = [], [], [], {}, 0
 
         def flush():
@@ -101,7 +101,8 @@ def _to_blocks(block_bytes: int):
             names = list(known)
             return pa.RecordBatch.from_arrays([
                 pa.array([part << 32 | made], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([_pack(np.array(counts))], pa.binary()),
-                pa.array([_pack(rank[x])], pa.binary()), pa.array([b"\n".join([names[i] for i in order.tolist()])], pa.binary())], schema=_BLOCK)
+                pa.array([_pack(rank[x])], pa.binary()), pa.array([pack.compress(b"\n".join([names[i] for i in order.tolist()]))], pa.binary()),
+                pa.array([len(names)], pa.int64())], schema=_BLOCK)
 
         for piece in slices(it, "text", 1 << 20):
             for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
@@ -130,11 +131,11 @@ _LIST = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("words", pa.b
 def _to_buckets(n: int):
     """The words of each block by hash bucket, in the block's order."""
     def run(it):
-        pack = zstandard.ZstdCompressor(level=3)
+        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
         for batch in it:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 out: list[list[bytes]] = [[] for _ in range(n)]
-                for w in _words(data):
+                for w in _words(unpack.decompress(data)):
                     out[xxhash.xxh3_64_intdigest(w) % n].append(w)
                 for i in range(0, n, 64):
                     some = [b for b in range(i, min(n, i + 64)) if out[b]]
@@ -170,74 +171,68 @@ def _distinct(model):
     return run
 
 
-def word_table(lists: DataFrame, model: str) -> DataFrame:
-    """``bucket, word, ids, pieces`` of each distinct word of ``lists`` (``bucket, block, words``)."""
-    spark = lists.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def word_table(lists: DataFrame, model) -> DataFrame:
+    """``bucket, word, ids`` of each distinct word of ``lists`` (``bucket, block, words``)."""
+    n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = lists.select("bucket", "words").repartition(n, "bucket").sortWithinPartitions("bucket")
-    words = ordered.mapInArrow(_distinct(spark.sparkContext.broadcast(model)), "bucket long, word binary, ids array<int>")
-    known = F.broadcast(pieces(spark, model))  # as large as the vocabulary
-    placed = words.select("bucket", "word", F.posexplode_outer("ids").alias("pos", "id")).join(known, "id", "left")
-    return placed.groupBy("bucket", "word").agg(F.sort_array(F.collect_list(F.struct("pos", "id", "piece"))).alias("p")).select(
-        "bucket", "word", F.filter(F.transform("p", lambda x: x["id"]), lambda x: x.isNotNull()).alias("ids"),
-        F.array_join(F.filter(F.transform("p", lambda x: x["piece"]), lambda x: x.isNotNull()), " ").alias("pieces"))
+    return ordered.mapInArrow(_distinct(model), "bucket long, word binary, ids array<int>")
 
 
 _BACK = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("made", pa.binary())])
 
 
 def _answer(key, left, right):
-    """For each block of a bucket: the ids and pieces of its words, in their order."""
+    """For each block of a bucket: the ids of its words, in their order."""
     unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
-    made = {w: b" ".join([str(i).encode() for i in ids]) + b"\t" + p.encode("utf-8")
-            for w, ids, p in zip(*[right.column(c).to_pylist() for c in ("word", "ids", "pieces")])}
+    made = {w: " ".join(map(str, ids)).encode() for w, ids in zip(right.column("word").to_pylist(), right.column("ids").to_pylist())}
     blocks, data = left.column("block").to_pylist(), left.column("words").to_pylist()
     out = [pack.compress(b"\n".join([made[w] for w in _words(unpack.decompress(d))])) for d in data]
     return pa.Table.from_arrays([pa.array(blocks, pa.int64()), pa.array([key[0].as_py()] * len(blocks), pa.int64()), pa.array(out, pa.binary())],
                                 schema=_BACK)
 
 
-def _texts(n: int):
-    """The documents of each block: ``doc_id``, ids and decoded text."""
+def _texts(n: int, vocabulary):
+    """The documents of each block: ``doc_id``, number of ids, ids and decoded text."""
     def run(it):
         unpack = zstandard.ZstdDecompressor()
         for batch in it:
             for ids, counts, positions, words, answers in zip(*[batch.column(c).to_pylist() for c in ("ids", "counts", "positions", "words", "answers")]):
                 got = {a["bucket"]: iter(unpack.decompress(a["made"]).split(b"\n")) for a in answers or ()}
-                pairs = [next(got[xxhash.xxh3_64_intdigest(w) % n]).split(b"\t") for w in _words(words)]
-                # a word without tokens leaves no trace
-                number, text = [p[0] for p in pairs], [p[1] for p in pairs]
-                size = np.array([p[0].count(b" ") + 1 if p[0] else 0 for p in pairs], np.int64)
+                number = [next(got[xxhash.xxh3_64_intdigest(w) % n]) for w in _words(unpack.decompress(words))]
+                del got, answers, words
+                piece = {str(i).encode(): p for i, p in vocabulary.value.items()}
+                text = [b" ".join(map(piece.__getitem__, x.split())) for x in number]
+                size = np.array([x.count(b" ") + 1 if x else 0 for x in number], np.int64)
                 x, end = _unpack(positions), np.cumsum(_unpack(counts))
                 for a in range(0, len(ids), 256):
-                    b = min(len(ids), a + 256)
                     rows = []
-                    for i in range(a, b):
+                    for i in range(a, min(len(ids), a + 256)):
                         own = x[end[i - 1] if i else 0:end[i]]
-                        n_tokens = int(size[own].sum())
-                        own = own.tolist()
-                        rows.append((ids[i], n_tokens, b" ".join([number[k] for k in own if number[k]]), b" ".join([text[k] for k in own if number[k]])))
-                    yield from (rows,)
+                        own = own[size[own] > 0].tolist()  # a word without tokens leaves no trace
+                        rows.append((ids[i], int(size[own].sum()), b" ".join([number[k] for k in own]), b" ".join([text[k] for k in own])))
+                    yield rows
     return run
 
 
-def _joined(docs: DataFrame, model_path: str, block_bytes: int, emit, schema: pa.Schema, ddl: str) -> DataFrame:
+def _joined(docs: DataFrame, model_path: str, block_bytes: int, emit, ddl: str) -> DataFrame:
     spark, model = docs.sparkSession, read_model(model_path)
+    shared, vocabulary = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(pieces(model))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name, path = f"picsel_blocks_{uuid.uuid4().hex}", stage_path(spark, "blocks")
     (source.mapInArrow(_to_blocks(block_bytes), _BLOCK_DDL).write.option("path", path).option("compression", "none")
      .bucketBy(parts, "block").saveAsTable(name))
     table = spark.table(name)
-    total = table.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    n = max(1, total // (8 * BUCKET_WORDS))
+    total = table.agg(F.sum("n_words")).first()[0] or 0
+    n = max(1, total // BUCKET_WORDS)
     lists = table.select("block", "words").mapInArrow(_to_buckets(n), "bucket long, block long, words binary")
-    known = stage(word_table(lists, model), "words")
+    known = stage(word_table(lists, shared), "words")
     answers = stage(lists.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, "block long, bucket long, made binary"), "answers")
     back = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "made")).alias("answers"))  # the words of one block
+    texts = _texts(n, vocabulary)
 
     def run(it):
-        for rows in _texts(n)(it):
+        for rows in texts(it):
             yield emit(rows)
 
     return table.join(back, "block", "left").mapInArrow(run, ddl)
@@ -250,7 +245,7 @@ def encode_documents(docs: DataFrame, model_path: str, block_bytes: int = BLOCK_
     def emit(rows):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([[int(i) for i in r[2].split()] for r in rows], pa.list_(pa.int32())),
                                            pa.array([r[3].decode("utf-8") for r in rows], pa.string())], schema=schema)
-    return _joined(docs, model_path, block_bytes, emit, schema, "doc_id long, ids array<int>, decoded string")
+    return _joined(docs, model_path, block_bytes, emit, "doc_id long, ids array<int>, decoded string")
 
 
 def encode_digests(docs: DataFrame, model_path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -261,4 +256,4 @@ def encode_digests(docs: DataFrame, model_path: str, block_bytes: int = BLOCK_BY
     def emit(rows):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
                                            pa.array([sha(r[2]) for r in rows]), pa.array([sha(r[3]) for r in rows])], schema=schema)
-    return _joined(docs, model_path, block_bytes, emit, schema, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _joined(docs, model_path, block_bytes, emit, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

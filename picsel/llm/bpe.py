@@ -20,6 +20,8 @@ block is one word still; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
+import unicodedata
 import uuid
 
 import numpy as np
@@ -39,7 +41,12 @@ BUCKET_WORDS = 200_000
 
 
 class Encoder:
-    """Ids of words with the tokenizers library; one instance a worker and model."""
+    """Ids of words with the tokenizers library; one instance a worker and model.
+
+    Many words are encoded as one text, and its ids are dealt back to the words by the bytes of their pieces (a byte is one
+    character of a piece, word ends apart). If the bytes don't end where the words do, as when the tokenizer drops a character,
+    the words are encoded one by one.
+    """
 
     _known: dict[int, Encoder] = {}
 
@@ -48,6 +55,16 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        end = json.loads(model)["model"].get("end_of_word_suffix")
+        parts = json.loads(model)
+        self.joins = bool(end) and "ByteLevel" in json.dumps(parts["pre_tokenizer"])
+        special = [t["content"] for t in parts["added_tokens"]]
+        # whether A-Z may be lower-cased before: the tokenizer does so itself, and special tokens all have the mark <|
+        self.lowers = "Lowercase" in json.dumps(parts["normalizer"]) and all("<|" in t for t in special)
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.size = np.zeros(max(vocab.values()) + 1, np.int64)
+        for piece, i in vocab.items():
+            self.size[i] = len(piece) - (len(end) if end and piece.endswith(end) else 0)
 
     @classmethod
     def of(cls, model: str) -> Encoder:
@@ -55,11 +72,39 @@ class Encoder:
             cls._known[hash(model)] = cls(model)
         return cls._known[hash(model)]
 
+    def _each(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        text = " ".join(words)
+        ids = np.array(self._each([text])[0], "<u4")
+        sizes = map(len, words) if text.isascii() else (
+            len(w) if w.isascii() else len(unicodedata.normalize("NFC", w).lower().encode("utf-8")) for w in words)
+        ends = np.cumsum(np.fromiter(sizes, np.int64, len(words)))
+        got = np.cumsum(self.size[ids])
+        at = np.searchsorted(got, ends)
+        if not len(got) or got[-1] != ends[-1] or (got[np.minimum(at, len(got) - 1)] != ends).any():
+            return None
+        return ids, at + 1
+
+    def flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and where each word begins (and the last one ends)."""
+        ids, cuts, total = [], [np.zeros(1, np.int64)], 0
+        for i in range(0, len(words), 1024):
+            some = words[i:i + 1024]
+            got = self._joined(some) if self.joins else None
+            if got is None:
+                each = self._each(some)
+                got = np.array([k for x in each for k in x], "<u4"), np.cumsum([len(x) for x in each])
+            ids.append(got[0])
+            cuts.append(got[1] + total)
+            total += len(got[0])
+        return np.concatenate(ids) if ids else np.empty(0, "<u4"), np.concatenate(cuts)
+
     def ids(self, words: list[str]) -> list[list[int]]:
-        out = []
-        for i in range(0, len(words), 4096):
-            out += [e.ids for e in self.tokenizer.encode_batch_fast(words[i:i + 4096], add_special_tokens=False)]
-        return out
+        ids, cuts = self.flat(words)
+        ids, cuts = ids.tolist(), cuts.tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def read_model(path: str) -> str:

@@ -17,6 +17,7 @@ text; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import struct
 import uuid
 import zlib
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from picsel.llm.bpe import Encoder, read_model
-from picsel.llm.common import stage, stage_path, utf8
+from picsel.llm.common import blocks, stage, stage_path, utf8
 
 FRAME_IDS = 1 << 15
 MAGIC = b"TOKFRAM1"
@@ -39,24 +40,34 @@ _FOOTER = struct.Struct("<QIQQ8s")  # table bytes, table crc32, frames, document
 _FRAMES = np.dtype([("bytes", "<u4"), ("ids", "<u4"), ("crc", "<u4")])
 _DOCS = np.dtype([("doc_id", "<i8"), ("has_id", "<u1"), ("first", "<u8"), ("ids", "<u8")])
 #: Words whose ids a worker remembers.
-MEMORY = 200_000
+MEMORY = 1_000_000
 
 
 class WordIds:
-    """Ids of a text as bytes; the ids of words seen before are remembered, within a bound."""
+    """Ids of texts as bytes; a worker remembers the ids of words it has seen, within a bound, for its later tasks too."""
+
+    _of: dict[int, WordIds] = {}
 
     def __init__(self, model: str):
         self.encoder, self.known = Encoder.of(model), {}
 
-    def __call__(self, raw: bytes) -> bytes:
-        words = raw.split()
-        new = [w for w in set(words) if w not in self.known]
-        if len(self.known) + len(new) > MEMORY:
+    @classmethod
+    def of(cls, model: str) -> WordIds:
+        if hash(model) not in cls._of:
+            cls._of[hash(model)] = cls(model)
+        return cls._of[hash(model)]
+
+    def __call__(self, raws: list[bytes]) -> list[bytes]:
+        # the tokenizer lower-cases itself, but only after it has found special tokens
+        texts = [(raw.lower() if self.encoder.lowers and b"<|" not in raw else raw).split() for raw in raws]
+        words = set().union(*texts)
+        if len(self.known) > MEMORY:
             self.known.clear()
-            new = list(set(words))
-        for w, ids in zip(new, self.encoder.ids([w.decode("utf-8") for w in new])):
-            self.known[w] = np.array(ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+        new = [w for w in words if w not in self.known]
+        ids, cuts = self.encoder.flat([w.decode("utf-8") for w in new])
+        data, cuts = ids.tobytes(), (4 * cuts).tolist()
+        self.known.update(zip(new, (data[a:b] for a, b in itertools.pairwise(cuts))))
+        return [b"".join(map(self.known.__getitem__, words)) for words in texts]
 
 
 class Writer:
@@ -159,14 +170,14 @@ def write_files(docs: DataFrame, folder: str, model_path: str, end_id: int = 1)
         writer = out = None
         fs, base = _filesystem(folder)
         name = f"part-{part:06d}"
-        for batch in it:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if writer is None:
-                    fs.create_dir(base, recursive=True)
-                    draft = f"{base}/.{name}-{uuid.uuid4().hex}"
-                    out = fs.open_output_stream(draft)
-                    writer, ids = Writer(out), WordIds(model.value)
-                writer.add(doc, ids(utf8(text)) + end)
+        for block in blocks(it, "text", 1 << 20):
+            if writer is None:
+                fs.create_dir(base, recursive=True)
+                draft = f"{base}/.{name}-{uuid.uuid4().hex}"
+                out = fs.open_output_stream(draft)
+                writer, ids = Writer(out), WordIds.of(model.value)
+            for doc, own in zip(block.column(0).to_pylist(), ids([utf8(t) for t in block.column(1).to_pylist()])):
+                writer.add(doc, own + end)
         if writer is not None:
             writer.close()
             out.close()

@@ -39,8 +39,8 @@ _SKIPPABLE = 0x184D2A5E
 _FOOTER = struct.Struct("<QIQQ8s")  # table bytes, table crc32, frames, documents, magic
 _FRAMES = np.dtype([("bytes", "<u4"), ("ids", "<u4"), ("crc", "<u4")])
 _DOCS = np.dtype([("doc_id", "<i8"), ("has_id", "<u1"), ("first", "<u8"), ("ids", "<u8")])
-#: Words whose ids a worker remembers.
-MEMORY = 1_000_000
+#: Words whose ids a worker remembers (about 200 bytes each).
+MEMORY = 1_500_000
 
 
 class WordIds:
@@ -63,7 +63,7 @@ class WordIds:
         words = set().union(*texts)
         if len(self.known) > MEMORY:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
+        new = list(words.difference(self.known))
         ids, cuts = self.encoder.flat([w.decode("utf-8") for w in new])
         data, cuts = ids.tobytes(), (4 * cuts).tolist()
         self.known.update(zip(new, (data[a:b] for a, b in itertools.pairwise(cuts))))
@@ -170,7 +170,7 @@ def write_files(docs: DataFrame, folder: str, model_path: str, end_id: int = 1)
         writer = out = None
         fs, base = _filesystem(folder)
         name = f"part-{part:06d}"
-        for block in blocks(it, "text", 1 << 20):
+        for block in blocks(it, "text", 4 << 20):
             if writer is None:
                 fs.create_dir(base, recursive=True)
                 draft = f"{base}/.{name}-{uuid.uuid4().hex}"

@@ -57,8 +57,8 @@ RATING_WIKIS_BASE = 2.0
 RATING_CATEGORY = 3.0
 TOP_K = 3
 
-# Regex that pulls the wiki list out of a note.
-FOUND_ON_REGEX = r"Wikis:\s+(.*)$"
+# What a note holds besides its comma-separated wiki list: all up to the list (or all, without one), and white space.
+BEFORE_FOUND_ON_REGEX = r"(?s)^(?:(?!Wikis:\s).)*(?:Wikis:\s+)?|\s+"
 
 # Text direction of wikis written right to left (all others are left to right).
 RTL_WIKIS = ("arwiki", "fawiki", "hewiki", "arzwiki")
@@ -82,6 +82,4 @@ SEARCH_RECOMMENDATION_TYPE = "image"
 # End of fixed values
 # ---------------------------------------------------------------------------
 
-# Salt buckets used to split one Commons category over several tasks when numbering its files.
-CATEGORY_SALT_BUCKETS = 64
 DEFAULT_DRAW_SEED = "picsel"

@@ -80,16 +80,13 @@ def source_of(note="note") -> Column:
 
 def instance_of_id(instance_of="instance_of") -> Column:
     """``id`` field of the P31 JSON; NULL for NULL or malformed input."""
-    c = _c(instance_of)
-    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(
-        F.from_json(c, INSTANCE_OF_DDL).getField("id"))
+    return F.get_json_object(_c(instance_of), "$.id")
 
 
 def found_on(note="note") -> Column:
     """Wikis listed in a note; a note without the list gives [''] (size 1), NULL stays NULL."""
-    n = _c(note)
-    return F.when(n.isNull(), F.lit(None).cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(F.regexp_extract(n, K.FOUND_ON_REGEX, 1), r"\s+", ""), ","))
+    # one pass removes the words before the list and all white space
+    return F.split(F.regexp_replace(_c(note), K.BEFORE_FOUND_ON_REGEX, ""), ",")
 
 
 def is_article_page(instance_id="instance_of") -> Column:
@@ -98,9 +95,9 @@ def is_article_page(instance_id="instance_of") -> Column:
 
 
 def md5_bigint(*parts) -> Column:
-    """Deterministic 32-bit draw value from an md5 prefix (same value in Spark and DuckDB)."""
+    """Deterministic 60-bit draw value from an md5 prefix (same value in Spark and DuckDB)."""
     s = F.concat_ws("|", *[_c(p).cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(s), 1, 15), 16, 10).cast("bigint")
 
 
 def image_page_url(image, language) -> Column:

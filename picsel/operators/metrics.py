@@ -31,19 +31,13 @@ def _histogram(df: DataFrame, value: str) -> DataFrame:
 def describe(df: DataFrame, value: str) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max of a column.
 
-    One pass over a value histogram; the quantile buffer holds one entry per distinct value.
+    One partial aggregation; the quantile buffer holds one entry per distinct value.
     """
-    h = _histogram(df.where(F.col(value).isNotNull()), value)
-    v, f = F.col("v").cast("double"), F.col("f")
-    n = F.sum(f)
-    mean = F.sum(v * f) / n
-    var = (F.sum(v * v * f) - F.sum(v * f) * F.sum(v * f) / n) / (n - F.lit(1))
-    q = F.percentile(F.col("v"), F.array(*[F.lit(x) for x in QUARTILES]), f)
-    return h.agg(
-        n.alias("count"), mean.alias("mean"),
-        F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("std"),
-        F.min(v).alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), F.max(v).alias("max"),
-    )
+    q = F.percentile(F.col(value), F.array(*[F.lit(x) for x in QUARTILES]))
+    return df.where(F.col(value).isNotNull()).agg(
+        F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.min(value).cast("double").alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
+        F.max(value).cast("double").alias("max"))
 
 
 def median(df: DataFrame, value: str) -> DataFrame:
@@ -144,23 +138,24 @@ def found_on_histogram(sizes: DataFrame) -> DataFrame:
     return sizes.groupBy("num_languages").agg(F.count(F.lit(1)).alias("n"))
 
 
-def box_stats(df: DataFrame, value: str) -> DataFrame:
-    """Quartiles, IQR, 1.5 IQR whiskers (most extreme values inside the fences), outlier count."""
-    h = _histogram(df.where(F.col(value).isNotNull()), value)
-    q = h.agg(F.percentile(F.col("v"), F.array(*[F.lit(x) for x in QUARTILES]), F.col("f")).alias("q"))
-    q = q.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+def box_stats(df: DataFrame, value: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Quartiles, IQR, 1.5 IQR whiskers (most extreme values inside the fences), outlier count; per group of ``by``."""
+    keys = list(by) or ["_all"]
+    rows = df.where(F.col(value).isNotNull()).withColumn("_all", F.lit(1))
+    h = rows.groupBy(*keys, F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("f"))
+    q = h.groupBy(*keys).agg(F.percentile(F.col("v"), F.array(*[F.lit(x) for x in QUARTILES]), F.col("f")).alias("q"))
+    q = q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
     hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
     v = F.col("v").cast("double")
-    # the quartile frame has exactly one row: an equi-join on a constant key, broadcast
-    h = h.withColumn("_k", F.lit(1))
-    q = q.withColumn("_k", F.lit(1))
-    return h.join(F.broadcast(q), "_k").groupBy("q1", "median", "q3", "iqr").agg(
+    # histograms and quartiles have a row per group (and value), far fewer than the data
+    out = h.join(q, keys).groupBy(*keys, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(v >= lo, v)).alias("lower_whisker"),
         F.max(F.when(v <= hi, v)).alias("upper_whisker"),
         F.coalesce(F.sum(F.when((v < lo) | (v > hi), F.col("f"))), F.lit(0)).cast("bigint").alias("n_outliers"),
     )
+    return out if by else out.drop("_all")
 
 
 def snapshot_counts(prod: DataFrame) -> DataFrame:
@@ -169,19 +164,20 @@ def snapshot_counts(prod: DataFrame) -> DataFrame:
 
 
 def column_frequencies(df: DataFrame) -> DataFrame:
-    """Value counts of every column in one pass (unpivot to (column, value) strings, then count)."""
+    """Value counts of every column in one pass, most frequent first within a column.
+
+    Values are kept apart exactly: NULL stays NULL, an array is its JSON text, a double its shortest exact text.
+    """
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if f.dataType.typeName() == "array":
-            c = F.concat_ws(",", c)
-        elif f.dataType.typeName() in ("double", "float"):
-            c = c.cast("decimal(38,6)")
-        cols.append(F.struct(F.lit(f.name).alias("column"), c.cast("string").alias("value")))
+        text = F.to_json(c) if f.dataType.typeName() in ("array", "map", "struct") else c.cast("string")
+        cols.append(F.struct(F.lit(f.name).alias("column"), text.alias("value")))
     return (
         df.select(F.explode(F.array(*cols)).alias("cv"))
         .select("cv.column", "cv.value")
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+        .orderBy("column", F.desc("count"), "value")
     )
 
 

@@ -55,61 +55,53 @@ def candidate_image_pages(images: DataFrame) -> DataFrame:
     )
 
 
-_META_TYPE = T.StructType([
+_FIELDS = T.StructType([
     T.StructField("description", T.StringType()),
     T.StructField("caption", T.StringType()),
-    T.StructField("depicts", T.ArrayType(T.StringType())),
+    T.StructField("blocks", T.ArrayType(T.StructType([T.StructField("property", T.StringType()), T.StructField("value", T.StringType())]))),
 ])
 
 
-@F.pandas_udf(_META_TYPE)
-def _extract_metadata(html: pd.Series, language: pd.Series, direction: pd.Series) -> pd.DataFrame:
-    desc, capt, dep = [], [], []
+@F.pandas_udf(_FIELDS)
+def _extract(html: pd.Series, language: pd.Series, direction: pd.Series) -> pd.DataFrame:
+    rows = []
     for h, lang, d in zip(html, language, direction):
-        if h is None or (isinstance(h, float) and pd.isna(h)):
-            desc.append(None), capt.append(None), dep.append(None)
-            continue
         doc = H.parse(h)
-        desc.append(H.description(doc, lang, d))
-        capt.append(H.caption(doc, lang))
-        dep.append(H.depicts(doc, lang)[0])
-    return pd.DataFrame({"description": desc, "caption": capt, "depicts": dep})
+        rows.append((H.description(doc, lang, d), H.caption(doc, lang), [{"property": p, "value": v} for p, v in H.format_values(doc)]))
+    return pd.DataFrame(rows, columns=["description", "caption", "blocks"])
 
 
-def image_metadata(image_pages: DataFrame, pages: DataFrame) -> DataFrame:
-    """candidate image pages left-joined to fetched pages on url -> description, caption, depicts.
+#: The JSON of a structured-data block: entries whose text/plain maps a language to {property: value}.
+BLOCK_DDL = "map<string, struct<`text/plain`: map<string, map<string, string>>>>"
+PROP_DEPICTS, PROP_LICENCE = "P180", "P275"
 
-    A missing page gives NULL fields. The join runs in Spark; only matched html reaches Python.
-    """
-    joined = image_pages.join(pages.select("url", "html"), "url", "left")
-    meta = _extract_metadata(F.col("html"), F.col("language"), F.col("direction"))
-    return joined.select(
-        "wiki_db", "image",
-        F.when(F.col("html").isNotNull(), meta).alias("m"),
-    ).select("wiki_db", "image", "m.description", "m.caption", "m.depicts")
-
-
-_FIELDS_TYPE = T.StructType([
-    T.StructField("lang", T.StringType()),
-    T.StructField("title", T.StringType()),
-    T.StructField("ad_text", T.StringType()),
-    T.StructField("n_ads", T.LongType()),
-])
 
-
-@F.pandas_udf(_FIELDS_TYPE)
-def _extract_fields(html: pd.Series) -> pd.DataFrame:
-    rows = {"lang": [], "title": [], "ad_text": [], "n_ads": []}
-    for h in html:
-        doc = H.parse(h)
-        rows["lang"].append(H.first_attr(doc, "html", "lang"))
-        rows["title"].append(H.first_text(doc, "title"))
-        rows["ad_text"].append(H.first_text(doc, "div", "ad"))
-        rows["n_ads"].append(H.count(doc, "div", "ad"))
-    return pd.DataFrame(rows)
+def block_values(blocks, language, prop: str) -> F.Column:
+    """the values of ``prop`` in the given language; the first entry of each block is not one of them. Malformed blocks
+    and entries without the language give none."""
+    own = F.filter(blocks, lambda b: b["property"].isin(PROP_DEPICTS, PROP_LICENCE))
+    entries = F.flatten(F.transform(own, lambda b: F.coalesce(
+        F.slice(F.map_values(F.from_json(b["value"], BLOCK_DDL)), F.lit(2), F.lit(1 << 30)), F.array())))
+    first = F.transform(entries, lambda e: F.get(F.map_entries(F.try_element_at(e["text/plain"], language)), F.lit(0)))
+    return F.transform(F.filter(first, lambda x: x["key"] == prop), lambda x: x["value"])
 
 
 def page_fields(pages: DataFrame) -> DataFrame:
-    """The same extractor on ordinary pages: html[lang], <title>, first div.ad text, number of div.ad."""
-    f = _extract_fields(F.col("html"))
-    return pages.select("page_id", f.alias("f")).select("page_id", "f.lang", "f.title", "f.ad_text", "f.n_ads")
+    """F4-F6 of ``html, language, direction`` rows with html: description, caption, depicts, licence (the last one)."""
+    got = pages.where(F.col("html").isNotNull()).withColumn("m", _extract("html", "language", "direction"))
+    licences = block_values(F.col("m.blocks"), F.col("language"), PROP_LICENCE)
+    return got.withColumns({
+        "description": F.col("m.description"), "caption": F.col("m.caption"),
+        "depicts": block_values(F.col("m.blocks"), F.col("language"), PROP_DEPICTS), "licence": F.try_element_at(licences, F.lit(-1)),
+    }).drop("m", "html")
+
+
+def image_metadata(image_pages: DataFrame, pages: DataFrame) -> DataFrame:
+    """candidate image pages and the fetched pages of their urls -> description, caption, depicts, licence.
+
+    Only pages that were fetched reach Python; an image without one gets NULL fields.
+    """
+    fetched = pages.where(F.col("html").isNotNull()).select("url", "html")
+    found = page_fields(image_pages.join(fetched, "url")).select("wiki_db", "image", "description", "caption", "depicts", "licence")
+    missing = image_pages.join(fetched.select("url"), "url", "left_anti").select("wiki_db", "image")
+    return found.unionByName(missing, allowMissingColumns=True)

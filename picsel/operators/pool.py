@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from picsel import constants as K
-from picsel.functions.columns import icon_threshold, label_language, md5_bigint
+from picsel.functions.columns import icon_threshold, label_language
+from picsel.session import materialize
 
 PAGE_KEYS = ["wiki_db", "page_id"]
 
@@ -94,25 +95,8 @@ def unillustrated_pages(page: DataFrame, item_page_link: DataFrame, illustrated:
 # Item properties and Commons category files
 # --------------------------------------------------------------------------------------------------
 
-def item_properties(entity: DataFrame) -> DataFrame:
-    """Per item: MAX of the P18, P373 (quotes removed, spaces -> '_') and P31 values.
-
-    The claims are exploded and filtered map-side; the aggregation is partial, so one row per item is
-    shuffled. Items without any of the three properties have no row.
-    """
-    claim = F.col("claim.mainSnak")
-    prop, value = claim.getField("property"), claim.getField("datavalue").getField("value")
-    flat = (
-        entity.where(F.col("typ") == "item")
-        .select("id", F.explode("claims").alias("claim"))
-        .where(prop.isin(K.PROP_IMAGE, K.PROP_INSTANCE_OF, K.PROP_COMMONS_CATEGORY))
-        .select("id", prop.alias("property"), value.alias("value"))
-    )
-    return item_properties_flat(flat)
-
-
 def item_properties_flat(claims: DataFrame) -> DataFrame:
-    """Same as :func:`item_properties` over flattened claims (id or item_id, property, value)."""
+    """Per item: the largest P18, P373 and P31 values of flattened claims (id or item_id, property, value)."""
     if "id" not in claims.columns:
         claims = claims.withColumnRenamed("item_id", "id")
     p, v = F.col("property"), F.col("value")
@@ -120,9 +104,7 @@ def item_properties_flat(claims: DataFrame) -> DataFrame:
         claims.where(p.isin(K.PROP_IMAGE, K.PROP_INSTANCE_OF, K.PROP_COMMONS_CATEGORY))
         .groupBy("id").agg(
             F.max(F.when(p == K.PROP_IMAGE, v)).alias("hasimage"),
-            F.max(F.when(p == K.PROP_COMMONS_CATEGORY,
-                         F.replace(F.replace(v, F.lit('"'), F.lit("")), F.lit(" "), F.lit("_"))))
-            .alias("commonscategory"),
+            F.max(F.when(p == K.PROP_COMMONS_CATEGORY, category_name(v))).alias("commonscategory"),
             F.max(F.when(p == K.PROP_INSTANCE_OF, v)).alias("instanceof"),
         )
     )
@@ -131,18 +113,30 @@ def item_properties_flat(claims: DataFrame) -> DataFrame:
 def item_claims(entity: DataFrame, pages: DataFrame) -> DataFrame:
     """Per (wiki_db, item) of ``pages``: label in the wiki's language and the three properties.
 
-    An item without a label in that language has no row (the label gate of the original query).
-    Labels are exploded map-side and cut to the languages of the wikis in ``pages`` by a broadcast
-    semi join (one row per language: bounded by the number of wikis) before any shuffle.
+    An item without a label in that language, or without any of the three properties, has no row. The entity table is read
+    once; labels and claims are looked up inside their map and array, so nothing is exploded, and the needed items meet
+    the entities in one join.
     """
     needed = pages.select("wiki_db", "item_id").distinct().withColumn("lang", label_language("wiki_db"))
-    langs = F.broadcast(needed.select("lang").distinct())
-    labels = (
-        entity.where(F.col("typ") == "item")
-        .select("id", F.explode("labels").alias("lang", "label_val"))
-        .join(langs, "lang", "left_semi")
+    snak = lambda c: c["mainSnak"]
+
+    def largest(prop, clean=lambda v: v):
+        own = F.filter("claims", lambda c: snak(c)["property"] == prop)
+        return F.array_max(F.transform(own, lambda c: clean(snak(c)["datavalue"]["value"])))
+
+    wanted = [K.PROP_IMAGE, K.PROP_INSTANCE_OF, K.PROP_COMMONS_CATEGORY]
+    items = entity.where((F.col("typ") == "item") & F.exists("claims", lambda c: snak(c)["property"].isin(wanted))).select(
+        "id", "labels", largest(K.PROP_IMAGE).alias("hasimage"), largest(K.PROP_COMMONS_CATEGORY, category_name).alias("commonscategory"),
+        largest(K.PROP_INSTANCE_OF).alias("instanceof"))
+    return (
+        needed.join(items, needed.item_id == items.id).where(F.map_contains_key("labels", F.col("lang")))
+        .select("wiki_db", "id", F.try_element_at("labels", F.col("lang")).alias("label_val"), "hasimage", "commonscategory", "instanceof")
     )
-    return _claims_rows(needed, labels, item_properties(entity))
+
+
+def category_name(value):
+    """A P373 value as a category title: quotes removed, spaces to underscores."""
+    return F.replace(F.replace(value, F.lit('"'), F.lit("")), F.lit(" "), F.lit("_"))
 
 
 def item_claims_flat(claims: DataFrame, labels: DataFrame, pages: DataFrame) -> DataFrame:
@@ -206,32 +200,33 @@ def category_stats(cat_files: DataFrame) -> DataFrame:
     )
 
 
+def with_category_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """``df`` left-joined to its category's counts; rows without a category, mostly a majority, bypass the join."""
+    known = df.where(F.col("commonscategory").isNotNull()).join(stats, F.col("commonscategory") == F.col("cl_to"), "left").drop("cl_to")
+    rest = df.where(F.col("commonscategory").isNull())
+    return known.unionByName(rest, allowMissingColumns=True)
+
+
 def items_with_category_images(claims: DataFrame, cat_files: DataFrame) -> DataFrame:
     """B8 left-joined to its category's file counts (the list itself stays in long form)."""
-    stats = category_stats(cat_files)
-    return claims.join(stats, claims.commonscategory == stats.cl_to, "left").drop("cl_to")
+    return with_category_stats(claims, category_stats(cat_files))
 
 
-def numbered_category_images(cat_files: DataFrame, buckets: int = K.CATEGORY_SALT_BUCKETS) -> DataFrame:
-    """Dotted titles of each category numbered 0..n-1 in (bucket, title) order.
+def numbered_category_images(cat_files: DataFrame) -> DataFrame:
+    """Dotted titles of each category numbered 0..n-1 in title order.
 
-    A category may hold a third of all files; numbering it in one window would put it in one task.
-    Titles are spread over ``buckets`` salt buckets by an md5 hash; each (category, bucket) is numbered
-    on its own, and the bucket offsets come from a tiny per-(category, bucket) count table.
+    A category may hold a third of all files; numbering it in one window would put it in one task. The rows are
+    range-partitioned by (category, title) and staged, so the ranges are fixed; each range of a category is numbered on its
+    own and starts where the counts of the category's earlier ranges end. The ranges do not change the numbers.
     """
-    dotted = (
-        cat_files.where(F.col("page_title").contains("."))
-        .withColumn("bucket", F.pmod(md5_bigint("page_title"), F.lit(buckets)))
-    )
-    local = dotted.withColumn(
-        "local_idx",
-        F.row_number().over(Window.partitionBy("cl_to", "bucket").orderBy("page_title")) - 1,
-    )
-    counts = dotted.groupBy("cl_to", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("cl_to").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    dotted = cat_files.where(F.col("page_title").contains("."))
+    ranged = materialize(dotted.repartitionByRange("cl_to", "page_title").withColumn("part", F.spark_partition_id()), name="category-ranges")
+    local = ranged.withColumn("local_idx", F.row_number().over(Window.partitionBy("cl_to", "part").orderBy("page_title")) - 1)
+    counts = ranged.groupBy("cl_to", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("cl_to").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
     return (
-        local.join(offsets, ["cl_to", "bucket"])
+        local.join(offsets, ["cl_to", "part"])
         .select("cl_to", (F.col("start") + F.col("local_idx")).cast("bigint").alias("idx"), "page_title")
     )
 
@@ -241,10 +236,10 @@ def numbered_category_images(cat_files: DataFrame, buckets: int = K.CATEGORY_SAL
 # --------------------------------------------------------------------------------------------------
 
 def item_lead_images(item_page_link: DataFrame, page_props: DataFrame, page: DataFrame,
-                     placeholders: DataFrame | None) -> DataFrame:
+                     placeholders: DataFrame | None, items: DataFrame | None = None) -> DataFrame:
     """Lead images of every namespace-0 page linked to an item: (item_id, src_wiki, image).
 
-    Kept only when the title is a non-redirect Commons file and not a placeholder. A page with both
+    ``items`` (item_id) cuts the links to the needed items before anything is joined to them. Kept only when the title is a non-redirect Commons file and not a placeholder. A page with both
     lead-image properties contributes twice, as in the original.
     """
     lead = (
@@ -253,24 +248,26 @@ def item_lead_images(item_page_link: DataFrame, page_props: DataFrame, page: Dat
                 F.col("pp_value").alias("image"))
     )
     titles = commons_files(page).select(F.col("page_title").alias("image"))
+    links = item_page_link.where(F.col("page_namespace") == 0).select(
+        "item_id", F.col("wiki_db").alias("src_wiki"), "page_id")
+    if items is not None:
+        links = links.join(items.select("item_id").distinct(), "item_id", "left_semi")
+        lead = lead.join(links.select("src_wiki", "page_id"), ["src_wiki", "page_id"], "left_semi")
     lead = lead.join(titles, "image", "left_semi")
     if placeholders is not None:
         lead = lead.join(placeholders.select(F.col("page_title").alias("image")), "image", "left_anti")
-    links = item_page_link.where(F.col("page_namespace") == 0).select(
-        "item_id", F.col("wiki_db").alias("src_wiki"), "page_id")
     return links.join(lead, ["src_wiki", "page_id"]).select("item_id", "src_wiki", "image")
 
 
 def lead_images_elsewhere(pages: DataFrame, item_leads: DataFrame) -> DataFrame:
     """B12 in long form: for each page, the lead images of its item's pages in *other* wikis.
 
-    Output: the columns of ``pages`` plus src_wiki, image. Fan-out per page is bounded by the number of
-    wikis (one namespace-0 page per item and wiki, two lead-image properties).
+    Output: the columns of ``pages`` plus src_wiki, image. The wikis of an (item, image) are gathered first, a list bounded
+    by the number of wikis, so the join brings a page one row per image; its own wiki is left out as the list is unfolded.
     """
-    return (
-        pages.join(item_leads, "item_id")
-        .where(F.col("src_wiki") != F.col("wiki_db"))
-    )
+    images = item_leads.groupBy("item_id", "image").agg(F.collect_list("src_wiki").alias("wikis"))
+    others = F.filter("wikis", lambda w: w != F.col("wiki_db"))
+    return pages.join(images, "item_id").select(*pages.columns, F.explode(others).alias("src_wiki"), "image")
 
 
 @dataclass
@@ -285,22 +282,6 @@ class Pool:
     category_files: DataFrame
 
 
-def build_pool(page: DataFrame, imagelinks: DataFrame, page_props: DataFrame, item_page_link: DataFrame,
-               categorylinks: DataFrame, placeholders: DataFrame | None, claims: DataFrame) -> Pool:
-    """B7 -> B8 -> B10 -> B12, returning long forms that selection consumes without collecting lists."""
-    illustrated = illustrated_pages(
-        pages_with_images(imagelinks, icon_images(imagelinks, icon_thresholds(wiki_size(page)))),
-        pages_with_lead_image(page_props))
-    unill = unillustrated_pages(page, item_page_link, illustrated)
-    pages = unill.join(
-        claims.withColumnRenamed("id", "item_id"), ["wiki_db", "item_id"], "left")
-    leads = lead_images_elsewhere(
-        unill.select("wiki_db", "item_id", "page_id"),
-        item_lead_images(item_page_link, page_props, page, placeholders))
-    cat_files = category_images(claims, categorylinks, page, placeholders)
-    return Pool(pages=pages, lead_images=leads, category_files=cat_files)
-
-
 def candidate_pool(pool: Pool) -> DataFrame:
     """One row per unillustrated page with its sources summarised.
 
@@ -314,8 +295,7 @@ def candidate_pool(pool: Pool) -> DataFrame:
     )
     stats = category_stats(pool.category_files)
     return (
-        pool.pages.join(lan, PAGE_KEYS, "left")
-        .join(stats, pool.pages.commonscategory == stats.cl_to, "left")
+        with_category_stats(pool.pages.join(lan, PAGE_KEYS, "left"), stats)
         .select("wiki_db", "item_id", "page_id", "page_title", "page_len", "lan_images", "n_lan_images",
                 "label_val", "hasimage", "commonscategory", "instanceof", "n_category_images")
     )

@@ -120,19 +120,6 @@ def top_candidates(merged: DataFrame, k: int = K.TOP_K) -> DataFrame:
     )
 
 
-def select_candidates(pool: Pool, seed: str = K.DEFAULT_DRAW_SEED) -> DataFrame:
-    """C2-C8 over the pool: the long-form top candidates of every eligible page."""
-    eligible = eligible_pages(pool.pages)
-    keys = eligible.select(*PAGE_KEYS)
-    leads = pool.lead_images.join(keys, PAGE_KEYS, "left_semi")
-    merged = merge_sources(
-        draw_category_images(eligible, pool.category_files, seed),
-        rank_lead_images(images_by_wiki(leads)),
-        item_image_candidates(eligible),
-    )
-    return top_candidates(merged)
-
-
 def candidates_table(pool: Pool, top: DataFrame, keep_unmatched: bool = True,
                      with_instanceof: bool = True) -> DataFrame:
     """item_id, page_id, page_title, top_candidates (array, NULL when none), instanceof.

@@ -1,10 +1,14 @@
 """The end-to-end production job: one snapshot, all wikis, every output written by Spark.
 
-    python -m picsel.plans.job --sf-dir /root/testdata/sf0.01 --out /shared/imagerec --snapshot 2021-01-25
+    python -m picsel.plans.job --tables /shared/snapshots --out /shared/imagerec --snapshot 2021-01-25
+
+``--snapshot`` is the one date that decides what is read (MediaWiki tables by its month, Wikidata tables by the date) and how the
+outputs are named. Sources are Parquet folders (``--tables``), tables of the catalog (``--catalog``), or the stand-ins over the
+supplied tables (``--sf-dir``).
 
 Stages (each a Spark job, no driver-side data): placeholders and pool (stage tables under
-``spark.checkpoint.dir``) -> selection -> raw table -> production table -> search feed -> exports (canonical and
-android) -> serving table -> metric reports. Outputs go under ``out`` with dynamic partition overwrite, so
+``spark.checkpoint.dir``) -> placeholder list -> selection -> candidates TSV and raw table -> production table -> search
+feed -> exports (canonical and android) -> serving table -> registered tables -> metric reports. Outputs go under ``out`` with dynamic partition overwrite, so
 re-running a snapshot replaces only its partitions.
 """
 
@@ -18,22 +22,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from picsel import constants as K
-from picsel.functions.columns import month_of_str
 from picsel.operators import metrics as E
 from picsel.operators import publish as D
 from picsel.plans.recommend import RecommendationRun
+from picsel.session import ship_package
 from picsel.sources.readers import read_raw_parquet
 
 
 def write_report(df: DataFrame, path: str) -> None:
-    """Metric output as CSV with a header (the original wrote one CSV per metric); arrays joined by ','."""
-    cols = [F.concat_ws(",", F.col(f.name)).alias(f.name) if f.dataType.typeName() == "array" else F.col(f.name)
+    """Metric output as CSV with a header (the original wrote one CSV per metric); arrays as JSON text."""
+    cols = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() == "array" else F.col(f.name)
             for f in df.schema.fields]
     df.select(*cols).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def run_job(spark: SparkSession, run: RecommendationRun, out: str, date: str, dataset_id: str | None = None,
-            insertion_ts: float | None = None) -> dict[str, float]:
+            insertion_ts: float | None = None, database: str | None = None) -> dict[str, float]:
     """Run every stage for ``run`` and write all outputs under ``out``; returns seconds per stage."""
     dataset_id = dataset_id or str(uuid.uuid4())
     insertion_ts = time.time() if insertion_ts is None else insertion_ts
@@ -47,6 +51,8 @@ def run_job(spark: SparkSession, run: RecommendationRun, out: str, date: str, da
         return result
 
     stage("pool", lambda: (run.pool, run.numbered_category_images))
+    stage("placeholders", lambda: run.placeholders.write.mode("overwrite").parquet(f"{out}/placeholders/{month}"))
+    stage("candidates", lambda: D.write_candidates(run.raw, f"{out}/candidates/{month}"))
     stage("raw", lambda: D.publish_raw(run.raw, f"{out}/imagerec"))
     raw = read_raw_parquet(spark, f"{out}/imagerec").where(f"snapshot = '{month}'")
     prod_rows = D.production_rows(raw)
@@ -60,9 +66,16 @@ def run_job(spark: SparkSession, run: RecommendationRun, out: str, date: str, da
     ))
     exports = D.export_rows(prod, month, K.TARGET_WIKIS)
     stage("serving", lambda: D.write_serving(D.serving_table(exports), f"{out}/serving/{month}"))
+    if database:
+        stage("register", lambda: D.register_tables(spark, f"{out}/imagerec", f"{out}/imagerec_prod", f"{out}/search_imagerec", database))
     reports = {
         "records_per_wiki": E.records_per_wiki(prod, month),
         "population_statistics": E.describe(E.records_per_wiki(prod, month), "n_records"),
+        "population_median": E.median(E.records_per_wiki(prod, month), "n_records"),
+        "box_stats_per_wiki": E.box_stats(E.images_per_page(prod, month), "n_images", by=("wiki",)),
+        "snapshot_counts": E.snapshot_counts(prod),
+        "column_frequencies": E.column_frequencies(prod),
+        "unserved_page_ids": D.unserved_page_ids(prod),
         "population_modes": E.modes(E.records_per_wiki(prod, month), "n_records"),
         "images_per_page": E.images_per_page(prod, month),
         "suggestion_histogram": E.suggestion_histogram_pct(prod, month),
@@ -84,15 +97,25 @@ def run_job(spark: SparkSession, run: RecommendationRun, out: str, date: str, da
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="All-wikis image recommendation run")
-    ap.add_argument("--sf-dir", required=True, help="folder of the supplied parquet tables (stand-in sources)")
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--tables", help="root of the source tables as parquet folders, partitioned by snapshot")
+    source.add_argument("--catalog", nargs="*", metavar="FIELD=TABLE", help="read the catalog's tables, named like the fields unless given")
+    source.add_argument("--sf-dir", help="folder of the supplied parquet tables (stand-in sources)")
     ap.add_argument("--out", required=True, help="output root (a shared folder on a cluster)")
     ap.add_argument("--snapshot", default="2021-01-25", help="full snapshot date YYYY-MM-DD")
     ap.add_argument("--dataset-id", default=None)
+    ap.add_argument("--database", default=None, help="register the outputs as tables of this database")
     ap.add_argument("--seed", default=K.DEFAULT_DRAW_SEED)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    run = RecommendationRun.standin(spark, args.sf_dir, snapshot=month_of_str(args.snapshot), seed=args.seed)
-    print(run_job(spark, run, args.out, args.snapshot, args.dataset_id))
+    ship_package(spark)
+    if args.tables:
+        run = RecommendationRun.from_parquet(spark, args.tables, args.snapshot, seed=args.seed)
+    elif args.sf_dir:
+        run = RecommendationRun.standin(spark, args.sf_dir, args.snapshot, seed=args.seed)
+    else:
+        run = RecommendationRun.from_catalog(spark, args.snapshot, dict(x.split("=", 1) for x in args.catalog), seed=args.seed)
+    print(run_job(spark, run, args.out, args.snapshot, args.dataset_id, database=args.database))
 
 
 if __name__ == "__main__":

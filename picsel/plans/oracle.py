@@ -6,11 +6,14 @@ definitions with ``picsel.sources.standins`` (same rules, written in SQL).
 
 from __future__ import annotations
 
+import re
+
 from picsel import constants as K
 
 SEED = K.DEFAULT_DRAW_SEED
 DATASET_ID = "picsel-check"
 INSERTION_TS = 1611532800.0
+INSERTION_TS_TEXT = "1.6115328E9"  # as Spark writes this double
 SEARCH_DATE = "2021-01-25"
 
 
@@ -29,7 +32,7 @@ def _s(x: str) -> str:
 
 def _md5_bigint(*parts: str) -> str:
     joined = " || '|' || ".join(parts)
-    return f"(('0x' || substr(md5({joined}), 1, 8))::BIGINT)"
+    return f"(('0x' || substr(md5({joined}), 1, 15))::BIGINT)"
 
 
 def _sql_list(values) -> str:
@@ -62,10 +65,10 @@ imagelinks_v AS (
 ),
 page_props_v AS (
   SELECT {_wiki('l_orderkey')} AS wiki_db, '2021-01' AS snapshot, l_orderkey AS pp_page,
-         CASE l_returnflag WHEN 'A' THEN 'page_image' WHEN 'N' THEN 'page_image_free'
-                           WHEN 'R' THEN 'defaultsort' END AS pp_propname,
+         CASE WHEN l_linenumber = 1 AND l_returnflag = 'A' THEN 'page_image'
+              WHEN l_linenumber = 1 AND l_returnflag = 'N' THEN 'page_image_free' ELSE 'defaultsort' END AS pp_propname,
          'File_' || {_s('CAST((FLOOR(l_orderkey / 4) + l_partkey % 2) % 200 AS BIGINT)')} || '.jpg' AS pp_value
-  FROM lineitem WHERE l_linenumber = 1
+  FROM lineitem
 ),
 item_page_link_v AS (
   SELECT '2021-01-25' AS snapshot, {_item('o_orderkey')} AS item_id, o_orderkey AS page_id,
@@ -174,7 +177,7 @@ cat_stats AS (
 cat_numbered AS (
   SELECT cl_to, page_title,
          ROW_NUMBER() OVER (PARTITION BY cl_to
-                            ORDER BY {_md5_bigint('page_title')} % {K.CATEGORY_SALT_BUCKETS}, page_title) - 1 AS idx
+                            ORDER BY page_title) - 1 AS idx
   FROM cat_files WHERE contains(page_title, '.')
 ),
 item_leads AS (
@@ -341,14 +344,37 @@ docs_prod_full AS (
 )"""
 
 
+FILE_PAGES = """
+file_pages AS (
+  SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS s, lang
+  FROM part, (VALUES ('en'), ('ar'), ('fr'), ('ko')) l(lang)
+),
+page_values AS (
+  SELECT k AS file_key, lang AS language,
+         CASE k % 4 WHEN 1 THEN 'About ' || s || ' in ' || lang WHEN 2 THEN 'Last ' || s || ' & ' || lang
+                    WHEN 3 THEN CASE WHEN lang = 'en' THEN 'Plain ' || s END END AS description,
+         CASE WHEN k % 3 = 0 THEN 'Caption ' || s END AS caption,
+         CASE WHEN k % 5 = 0 THEN '["thing ' || CAST(k % 7 AS VARCHAR) || '","thing ' || CAST(k % 3 AS VARCHAR) || '"]' ELSE '[]' END AS depicts,
+         CASE WHEN k % 5 = 0 THEN 'CC0' END AS licence
+  FROM file_pages
+)"""
+
+
+def json_text(column: str) -> str:
+    """A list column as JSON text."""
+    return f"CASE WHEN {column} IS NULL THEN NULL ELSE CAST(to_json({column}) AS VARCHAR) END"
+
+
 def with_ctes(*blocks: str, query: str) -> str:
     body = ",".join(b.strip().rstrip(",") for b in blocks)
+    # every shared step is computed once
+    body = re.sub(r"(?m)^(\w+) AS \(", r"\1 AS MATERIALIZED (", body)
     return f"WITH {body}\n{query}"
 
 
-def pipeline(query: str) -> str:
+def pipeline(query: str, *more: str) -> str:
     """A query over the full CTE chain (views, pool, selection, production)."""
-    return with_ctes(VIEWS, POOL, SELECTION, PRODUCTION, query=query)
+    return with_ctes(VIEWS, POOL, SELECTION, PRODUCTION, *more, query=query)
 
 
 def pool_only(query: str) -> str:

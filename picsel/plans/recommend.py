@@ -8,7 +8,6 @@ stage, and it keeps each later plan small instead of re-inlining the shared subt
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -19,27 +18,12 @@ from picsel import constants as K
 from picsel.operators import pool as P
 from picsel.operators import publish as D
 from picsel.operators import selection as S
-from picsel.session import application_id, ensure_checkpoint_dir
+from picsel.functions.columns import month_of_str
+from picsel.session import materialize
 from picsel.sources.readers import snapshot_scan
 from picsel.sources.standins import FULL_DATE, MONTH, StandIns
 
 
-def materialize(df: DataFrame, enabled: bool = True, name: str = "stage") -> DataFrame:
-    """Write ``df`` once as a parquet stage table under ``spark.checkpoint.dir`` and read it back.
-
-    One job computes and writes (``Dataset.checkpoint`` would compute twice without a cache); the result
-    has no lineage, survives executor loss, and later scans get column pruning and filter pushdown.
-    Never a local checkpoint or a machine-local folder: the folder is the session's shared checkpoint dir.
-    """
-    if not enabled:
-        return df
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/picsel-stages/{application_id(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def materialize_all(frames: dict[str, DataFrame], enabled: bool = True) -> dict[str, DataFrame]:
     """Materialise independent frames as concurrent Spark jobs (one driver thread per frame).
 
@@ -81,6 +65,27 @@ class SourceTables:
         )
 
 
+    @classmethod
+    def _read(cls, read, date: str) -> "SourceTables":
+        """Tables by ``read(name)``; MediaWiki tables carry the month of ``date`` as snapshot, Wikidata tables the date."""
+        month = month_of_str(date)
+        monthly = {n: snapshot_scan(read(n), month) for n in ("page", "imagelinks", "page_props", "categorylinks")}
+        dated = {n: snapshot_scan(read(n), date) for n in ("item_page_link", "entity")}
+        return cls(**monthly, **dated, placeholder_category=read("placeholder_category"))
+
+    @classmethod
+    def from_parquet(cls, spark: SparkSession, root: str, date: str) -> "SourceTables":
+        """Folders ``root/<table>``, partitioned by snapshot (and wiki_db)."""
+        # partition values stay text: a month is no date
+        read = lambda n: spark.read.option("inferSchema", "false").parquet(f"{root}/{n}")
+        return cls._read(lambda n: read(n).withColumn("snapshot", F.col("snapshot").cast("string")) if n != "placeholder_category" else read(n), date)
+
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, date: str, names: dict[str, str] | None = None) -> "SourceTables":
+        """Tables of the session's catalog; ``names`` maps the fields of this class to table names."""
+        return cls._read(lambda n: spark.table((names or {}).get(n, n)), date)
+
+
 @dataclass
 class RecommendationRun:
     """One run over all wikis. ``checkpoints=False`` keeps everything lazy (one big plan)."""
@@ -92,8 +97,18 @@ class RecommendationRun:
     wikis: tuple[str, ...] | None = None  # restrict the articles to these wikis (the per-wiki loop)
 
     @classmethod
-    def standin(cls, spark: SparkSession, sf_dir: str, **kw) -> "RecommendationRun":
-        return cls(SourceTables.from_standins(StandIns(spark, sf_dir)), **kw)
+    def standin(cls, spark: SparkSession, sf_dir: str, date: str = FULL_DATE, **kw) -> "RecommendationRun":
+        """A run over the stand-in tables; ``date`` selects the snapshots that are read and names those that are written."""
+        month = month_of_str(date)
+        return cls(SourceTables.from_standins(StandIns(spark, sf_dir), month, date), snapshot=month, **kw)
+
+    @classmethod
+    def from_parquet(cls, spark: SparkSession, root: str, date: str, **kw) -> "RecommendationRun":
+        return cls(SourceTables.from_parquet(spark, root, date), snapshot=month_of_str(date), **kw)
+
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, date: str, names: dict[str, str] | None = None, **kw) -> "RecommendationRun":
+        return cls(SourceTables.from_catalog(spark, date, names), snapshot=month_of_str(date), **kw)
 
     # -- pool ----------------------------------------------------------------------------------------
     @cached_property
@@ -146,7 +161,7 @@ class RecommendationRun:
                                         ["wiki_db", "item_id"], "left")
         leads = P.lead_images_elsewhere(
             self.unillustrated.select("wiki_db", "item_id", "page_id"),
-            P.item_lead_images(t.item_page_link, t.page_props, t.page, self.placeholders))
+            P.item_lead_images(t.item_page_link, t.page_props, t.page, self.placeholders, self.unillustrated))
         cat_files = P.category_images(self.claims, t.categorylinks, t.page, self.placeholders)
         done = materialize_all({"pool_pages": pages, "lead_images": leads, "category_files": cat_files},
                                self.checkpoints)
@@ -158,22 +173,30 @@ class RecommendationRun:
         return materialize(P.numbered_category_images(self.pool.category_files), self.checkpoints,
                            "numbered_category_images")
 
+    @cached_property
+    def eligible_leads(self) -> DataFrame:
+        """Lead images of the pages that may receive candidates."""
+        keys = S.eligible_pages(self.pool.pages).select(*P.PAGE_KEYS)
+        return self.pool.lead_images.join(keys, P.PAGE_KEYS, "left_semi")
+
     def pool_rows(self) -> DataFrame:
         """B13."""
         return P.candidate_pool(self.pool)
 
     # -- selection -----------------------------------------------------------------------------------
-    def top_candidates(self) -> DataFrame:
-        """C8 long form."""
+    def merged(self) -> DataFrame:
+        """C7."""
         pool = self.pool
         eligible = S.eligible_pages(pool.pages)
-        leads = pool.lead_images.join(eligible.select(*P.PAGE_KEYS), P.PAGE_KEYS, "left_semi")
-        merged = S.merge_sources(
+        return S.merge_sources(
             S.draw_category_images(eligible, pool.category_files, self.seed, self.numbered_category_images),
-            S.rank_lead_images(S.images_by_wiki(leads)),
+            S.rank_lead_images(S.images_by_wiki(self.eligible_leads)),
             S.item_image_candidates(eligible),
         )
-        return S.top_candidates(merged)
+
+    def top_candidates(self) -> DataFrame:
+        """C8 long form."""
+        return S.top_candidates(self.merged())
 
     @cached_property
     def candidates(self) -> DataFrame:
@@ -182,8 +205,8 @@ class RecommendationRun:
 
     @cached_property
     def raw(self) -> DataFrame:
-        """The raw (imagerec) rows of this run."""
-        return S.raw_rows(self.candidates, self.snapshot)
+        """The raw (imagerec) rows of this run, staged once: the publication and all metrics read them."""
+        return materialize(S.raw_rows(self.candidates, self.snapshot), self.checkpoints, "raw")
 
     # -- publication ---------------------------------------------------------------------------------
     def production_rows(self) -> DataFrame:
@@ -191,5 +214,5 @@ class RecommendationRun:
         return D.production_rows(self.raw)
 
     def production_table(self, dataset_id: str, insertion_ts: float) -> DataFrame:
-        """D10 transform half."""
+        """D10 transform half, lazy over the staged raw rows."""
         return D.production_table(self.production_rows(), self.snapshot, dataset_id, insertion_ts)

@@ -1,12 +1,14 @@
 """Query registry: one Spark query per operator and the matching DuckDB SQL oracle.
 
 Every query reads the supplied tables through the stand-in views, over whole tables. Results are made
-comparable: arrays become ','-joined strings, doubles are rounded to 6 digits, integer columns are bigint.
+comparable: arrays become JSON text, doubles are rounded to 6 digits, integer columns are bigint.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +23,9 @@ from picsel.operators import publish as D
 from picsel.operators import selection as S
 from picsel.plans import oracle as O
 from picsel.plans.recommend import RecommendationRun
-from picsel.session import application_id
-from picsel.sources.readers import snapshot_scan, target_wikis
+from picsel.schemas import TOP_CANDIDATES_DDL
+from picsel.session import application_id, materialize, stage_root
+from picsel.sources.readers import read_partitioned_tsv, read_raw_parquet, snapshot_scan, target_wikis
 from picsel.sources.standins import MONTH, StandIns
 
 _RUNS: dict[tuple[str, str], RecommendationRun] = {}
@@ -37,13 +40,13 @@ def run_for(spark: SparkSession, sf_dir: str) -> RecommendationRun:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Arrays -> ','-joined strings, doubles rounded to 6 digits, integers -> bigint."""
+    """Arrays -> JSON text, doubles rounded to 6 digits, integers -> bigint."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, T.ArrayType):
-            c = F.when(c.isNotNull(), F.concat_ws(",", c))
+            c = F.to_json(c)
         elif isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType)):
             c = F.round(c.cast("double"), 6)
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
@@ -52,8 +55,14 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+_PRODUCTION: dict[int, DataFrame] = {}
+
+
 def _prod(run: RecommendationRun) -> DataFrame:
-    return run.production_table(O.DATASET_ID, O.INSERTION_TS)
+    """The run's production table, staged once for all metrics."""
+    if id(run) not in _PRODUCTION:
+        _PRODUCTION[id(run)] = materialize(run.production_table(O.DATASET_ID, O.INSERTION_TS), name="production")
+    return _PRODUCTION[id(run)]
 
 
 def _docs_prod(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,9 +85,8 @@ def _q_snapshot_scan(spark, sf):
 
 
 def _q_month_of(spark, sf):
-    src = StandIns(spark, sf)
-    return src.item_page_link.select("snapshot").distinct().select(
-        "snapshot", C.month_of("snapshot").alias("month"))
+    dates = StandIns(spark, sf).table("orders").select(F.col("o_orderdate").cast("date").cast("string").alias("snapshot")).distinct()
+    return dates.select("snapshot", C.month_of("snapshot").alias("month"))
 
 
 def _q_label_language(spark, sf):
@@ -174,8 +182,7 @@ def _q_with_any_source(spark, sf):
 
 
 def _eligible_leads(run):
-    eligible = S.eligible_pages(run.pool.pages)
-    return run.pool.lead_images.join(eligible.select(*P.PAGE_KEYS), P.PAGE_KEYS, "left_semi")
+    return run.eligible_leads
 
 
 def _q_is_valid_image_name(spark, sf):
@@ -207,18 +214,8 @@ def _q_item_image_candidates(spark, sf):
     return S.item_image_candidates(S.eligible_pages(run_for(spark, sf).pool.pages))
 
 
-def _merged(run):
-    pool = run.pool
-    eligible = S.eligible_pages(pool.pages)
-    return S.merge_sources(
-        S.draw_category_images(eligible, pool.category_files, run.seed, run.numbered_category_images),
-        S.rank_lead_images(S.images_by_wiki(_eligible_leads(run))),
-        S.item_image_candidates(eligible),
-    )
-
-
 def _q_merge_sources(spark, sf):
-    return _merged(run_for(spark, sf))
+    return run_for(spark, sf).merged()
 
 
 def _q_top_candidates(spark, sf):
@@ -346,6 +343,12 @@ def _q_redirects_in_dataset(spark, sf):
     return E.redirects_in_dataset(run.raw, run.tables.page, MONTH)
 
 
+def _q_redirects_in_pages(spark, sf):
+    """E12 over a raw table of all pages, redirects included."""
+    page = run_for(spark, sf).tables.page
+    return E.redirects_in_dataset(page.select("wiki_db", F.col("page_id").cast("string").alias("page_id"), "snapshot"), page, MONTH)
+
+
 def _q_filtered_out_records(spark, sf):
     return E.filtered_out_records(_p(spark, sf))
 
@@ -368,16 +371,25 @@ def _q_found_on_median(spark, sf):
 
 
 def _q_found_on_approx_median(spark, sf):
-    return E.approx_median(E.found_on_sizes(_p(spark, sf), MONTH), "num_languages", 0.25)
+    """Whether the approximate median's rank is within its error bound."""
+    sizes, error = E.found_on_sizes(_p(spark, sf), MONTH), 0.25
+    approx = E.approx_median(sizes, "num_languages", error)
+    rank = lambda cond: F.avg(F.when(cond, 1.0).otherwise(0.0))
+    value, mid = F.col("num_languages"), F.col("approx_median")
+    return sizes.join(F.broadcast(approx), F.lit(True)).agg(
+        ((rank(value < mid) <= 0.5 + error) & (rank(value <= mid) >= 0.5 - error)).alias("within_bound"))
 
 
 def _q_box_stats_records(spark, sf):
     return E.box_stats(E.images_per_page(_p(spark, sf), MONTH), "n_images")
 
 
+def _q_box_stats_population(spark, sf):
+    return E.box_stats(E.records_per_wiki(_p(spark, sf), MONTH), "n_records")
+
+
 def _q_box_stats_found_on(spark, sf):
-    sizes = E.found_on_sizes(_p(spark, sf), MONTH).where(F.col("wiki") == "enwiki")
-    return E.box_stats(sizes, "num_languages")
+    return E.box_stats(E.found_on_sizes(_p(spark, sf), MONTH), "num_languages", by=("wiki",))
 
 
 def _q_snapshot_counts(spark, sf):
@@ -415,12 +427,95 @@ def _q_candidate_image_pages(spark, sf):
 
 def _q_image_metadata(spark, sf):
     run = run_for(spark, sf)
-    pages = StandIns(spark, sf).table("pages")
-    return M.image_metadata(M.candidate_image_pages(M.distinct_candidate_images(run.raw)), pages)
+    return M.image_metadata(M.candidate_image_pages(M.distinct_candidate_images(run.raw)), StandIns(spark, sf).file_pages)
+
+
+def _fields(spark, sf):
+    pages = StandIns(spark, sf).file_pages
+    return M.page_fields(pages.withColumnsRenamed({"lang": "language", "dir": "direction"}))
+
+
+def _q_page_description(spark, sf):
+    return _fields(spark, sf).select("file_key", "language", "description")
+
+
+def _q_page_caption(spark, sf):
+    return _fields(spark, sf).select("file_key", "language", "caption")
+
+
+def _q_page_depicts(spark, sf):
+    return _fields(spark, sf).select("file_key", "language", "depicts", "licence")
+
+
+# -- sinks, read back ------------------------------------------------------------------------------------
+
+def _out(spark, name):
+    return f"{stage_root(spark)}/published-{name}-{uuid.uuid4().hex}"
+
+
+def _q_published_candidates(spark, sf):
+    path, raw = _out(spark, "candidates"), run_for(spark, sf).raw
+    D.write_candidates(raw, path)
+    back = read_partitioned_tsv(spark, path, MONTH)
+    listed = F.from_json("top_candidates", TOP_CANDIDATES_DDL)
+    return back.select(*[c for c in back.columns if c != "top_candidates"], F.coalesce(F.size(F.coalesce(listed, F.array())), F.lit(0)).alias("n_candidates"))
+
+
+def _q_published_raw(spark, sf):
+    path, raw = _out(spark, "raw"), run_for(spark, sf).raw
+    D.publish_raw(raw, path)
+    back = read_raw_parquet(spark, path)
+    listed = F.from_json("top_candidates", TOP_CANDIDATES_DDL)
+    return back.select(*[c for c in back.columns if c != "top_candidates"], F.size(F.coalesce(listed, F.array())).alias("n_candidates"))
+
+
+def _q_published_production(spark, sf):
+    path, prod = _out(spark, "production"), _p(spark, sf)
+    D.publish_production(prod, path)
+    return spark.read.schema(prod.schema).parquet(path)
+
+
+def _q_published_search(spark, sf):
+    path = _out(spark, "search")
+    search = D.search_table(_p(spark, sf), O.SEARCH_DATE, MONTH)
+    D.publish_search(search, path)
+    return spark.read.schema(search.schema).parquet(path)
+
+
+def _read_exports(spark, path, exports):
+    back = spark.read.schema(exports.schema).options(sep="\t", header="true", quote="\u0000", nullValue="\\N", emptyValue="").csv(path)
+    return back.fillna("", subset=["image_id", "confidence_rating", "source", "found_on"]).select(*exports.columns)
+
+
+def _q_published_canonical(spark, sf):
+    path, exports = _out(spark, "canonical"), D.export_rows(_p(spark, sf), MONTH)
+    D.write_exports(exports, path)
+    return _read_exports(spark, path, exports)
+
+
+def _q_published_android(spark, sf):
+    path, exports = _out(spark, "android"), D.export_rows(_p(spark, sf), MONTH, android=True)
+    D.write_exports(exports, path)
+    return _read_exports(spark, path, exports)
+
+
+def _q_published_serving(spark, sf):
+    path, serving = _out(spark, "serving"), D.serving_table(D.export_rows(_p(spark, sf), MONTH))
+    D.write_serving(serving, path)
+    return spark.read.schema(serving.schema).parquet(path)
 
 
-def _q_page_fields(spark, sf):
-    return M.page_fields(StandIns(spark, sf).table("pages"))
+def _q_registered_tables(spark, sf):
+    run, prod = run_for(spark, sf), _p(spark, sf)
+    raw, production, search, db = _out(spark, "raw"), _out(spark, "production"), _out(spark, "search"), f"picsel_{uuid.uuid4().hex}"
+    D.publish_raw(run.raw, raw)
+    D.publish_production(prod, production)
+    D.publish_search(D.search_table(prod, O.SEARCH_DATE, MONTH), search)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{_out(spark, 'database')}'")
+    D.register_tables(spark, raw, production, search, database=db)
+    counts = [spark.table(f"{db}.{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n"))
+              for t in ("imagerec", "imagerec_prod", "search_imagerec")]
+    return reduce(DataFrame.unionByName, counts)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -479,6 +574,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_vs_final": _q_raw_vs_final,
     "instance_of_coverage": _q_instance_of_coverage,
     "redirects_in_dataset": _q_redirects_in_dataset,
+    "redirects_in_pages": _q_redirects_in_pages,
     "filtered_out_records": _q_filtered_out_records,
     "found_on_sizes": _q_found_on_sizes,
     "found_on_histogram": _q_found_on_histogram,
@@ -486,6 +582,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "found_on_median": _q_found_on_median,
     "found_on_approx_median": _q_found_on_approx_median,
     "box_stats_records": _q_box_stats_records,
+    "box_stats_population": _q_box_stats_population,
     "box_stats_found_on": _q_box_stats_found_on,
     "snapshot_counts": _q_snapshot_counts,
     "column_frequencies": _q_column_frequencies,
@@ -496,7 +593,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_candidate_images": _q_distinct_candidate_images,
     "candidate_image_pages": _q_candidate_image_pages,
     "image_metadata": _q_image_metadata,
-    "page_fields": _q_page_fields,
+    "page_description": _q_page_description,
+    "page_caption": _q_page_caption,
+    "page_depicts": _q_page_depicts,
+    "published_candidates": _q_published_candidates,
+    "published_raw": _q_published_raw,
+    "published_production": _q_published_production,
+    "published_search": _q_published_search,
+    "published_canonical": _q_published_canonical,
+    "published_android": _q_published_android,
+    "published_serving": _q_published_serving,
+    "registered_tables": _q_registered_tables,
 }
 
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "picsel") -> SparkSession:
@@ -38,8 +41,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster it names a shared folder and is used as is. Only when it is unset (local tests) a fresh
-    scratch folder is created and set.
+    On a cluster it names a folder that all executors share and is used as is; without it the call fails there. Only a
+    local master, whose tasks run on this machine, gets a fresh scratch folder when it is unset.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -49,6 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # noqa: BLE001  (no SparkContext on a Connect session)
         sc = None
     if not current:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="picsel-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and not sc.getCheckpointDir():
@@ -61,3 +67,39 @@ def application_id(spark: SparkSession) -> str:
         return spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001
         return spark.conf.get("spark.app.id", "app")
+
+
+def materialize(df: DataFrame, enabled: bool = True, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a parquet stage table under ``spark.checkpoint.dir`` and read it back.
+
+    One job computes and writes (``Dataset.checkpoint`` would compute twice without a cache); the result
+    has no lineage, survives executor loss, and later scans get column pruning and filter pushdown.
+    Never a local checkpoint or a machine-local folder: the folder is the session's shared checkpoint dir.
+    """
+    if not enabled:
+        return df
+    path = f"{stage_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_root(spark: SparkSession) -> str:
+    """Where this application's stage tables lie."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/picsel-stages/{application_id(spark)}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, for clusters on which it is not installed (once per application)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_picsel_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="picsel-"), "picsel.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("picsel", os.path.relpath(full, root)))
+    sc.addPyFile(path)  # served by the driver to every executor
+    sc._picsel_shipped = True

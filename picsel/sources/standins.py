@@ -14,9 +14,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from picsel.functions.columns import image_page_url
+
 MONTH = "2021-01"
 FULL_DATE = "2021-01-25"
 STANDIN_WIKIS = ("enwiki", "arwiki", "frwiki", "kowiki")
+FILE_PAGE_LANGUAGES = (("en", "ltr"), ("ar", "rtl"), ("fr", "ltr"), ("ko", "ltr"))
 PLACEHOLDER_CATEGORIES = ("Category_7", "Category_13")
 
 
@@ -89,10 +92,12 @@ class StandIns:
         k = F.col("l_orderkey")
         flag = F.col("l_returnflag")
         value_num = ((_item_num(k) + F.col("l_partkey") % 2) % 200).cast("bigint")
-        return self.table("lineitem").where(F.col("l_linenumber") == 1).select(
+        # an order's first line gives its page's lead image, the others are other properties
+        first = F.col("l_linenumber") == 1
+        return self.table("lineitem").select(
             _wiki(k).alias("wiki_db"), F.lit(MONTH).alias("snapshot"), k.alias("pp_page"),
-            F.when(flag == "A", "page_image").when(flag == "N", "page_image_free")
-            .when(flag == "R", "defaultsort").alias("pp_propname"),
+            F.when(first & (flag == "A"), "page_image").when(first & (flag == "N"), "page_image_free")
+            .otherwise("defaultsort").alias("pp_propname"),
             F.concat(F.lit("File_"), _s(value_num), F.lit(".jpg")).alias("pp_value"),
         )
 
@@ -180,6 +185,35 @@ class StandIns:
                     F.lit("item").alias("typ"), "labels", "claims")
         )
 
+    # -- Image pages with the markup of the metadata extractor (F4-F6) -------------------------------
+    @cached_property
+    def file_pages(self) -> DataFrame:
+        """``url, html`` of each part's file page in four languages; the fields present depend on the part key."""
+        langs = F.array(*[F.struct(F.lit(a).alias("lang"), F.lit(d).alias("dir")) for a, d in FILE_PAGE_LANGUAGES])
+        p = self.table("part").select(F.col("p_partkey").alias("k"), F.explode(langs).alias("l")).select("k", "l.lang", "l.dir")
+        k = _s(F.col("k"))
+        div = lambda cls, body, more="": F.concat(F.lit('<div class="'), cls, F.lit(f'"{more}>'), body, F.lit("</div>"))
+        own = F.concat(F.lit("description mw-content-"), "dir", F.lit(" "), "lang")
+        m = F.col("k") % 4
+        description = (
+            F.when(m == 1, div(own, F.concat(F.lit(" About "), k, F.lit(" in "), "lang", F.lit(" "))))
+            .when(m == 2, F.concat(div(own, F.concat(F.lit("First "), k)), div(own, F.concat(F.lit("Last <b>"), k, F.lit("</b> &amp; "), "lang"))))
+            .when(m == 3, div(F.lit("description"), F.concat(F.lit("Plain "), k))).otherwise(F.lit("")))
+        captioned = lambda cls: F.concat(F.lit(f'<div class="{cls}" lang="'), "lang", F.lit('">Caption '), k, F.lit("</div>"))
+        caption = (F.when(F.col("k") % 3 == 0, captioned("wbmi-caption-value")).when(F.col("k") % 3 == 1, captioned("wbmi-caption-value more"))
+                   .otherwise(F.lit("")))
+        value = lambda name, prop, text: F.concat(F.lit(f'"{name}": {{"text/plain": {{"'), "lang", F.lit(f'": {{"{prop}": "'), text, F.lit('"}}}'))
+        block = lambda prop, *values: F.concat(F.lit(f"<div data-property=\"{prop}\" data-formatvalue='"), F.lit('{"first": {}, '),
+                                               F.concat_ws(", ", *values), F.lit("}'></div>"))
+        thing = lambda n: F.concat(F.lit("thing "), _s(F.col("k") % n))
+        depicts = (F.when(F.col("k") % 5 == 0, F.concat(block("P180", value("a", "P180", thing(7)), value("b", "P180", thing(3))),
+                                                        block("P275", value("c", "P275", F.lit("CC0")))))
+                   .when(F.col("k") % 5 == 1, F.lit("<div data-property='P180' data-formatvalue='broken'></div>")).otherwise(F.lit("")))
+        image = F.concat(F.lit("File_"), k, F.lit(".jpg"))
+        return p.select(image_page_url(image, F.col("lang")).alias("url"),
+                        F.concat(F.lit("<html><body>"), description, caption, depicts, F.lit("</body></html>")).alias("html"),
+                        F.col("k").alias("file_key"), "lang", "dir")
+
     # -- Raw candidates table stand-in from documents (for isolated publication tests) ---------------
     @cached_property
     def raw_from_documents(self) -> DataFrame:

@@ -1,7 +1,5 @@
 """One small hand-made input per trap listed in the survey."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from picsel import constants as K
@@ -15,20 +13,12 @@ from picsel.operators import selection as S
 LINK_SCHEMA = "wiki_db string, il_from bigint, il_to string, il_from_namespace int"
 
 
-def _reference_threshold(size):
-    base, th, lim = 50000, 15, 4
-    if size >= base:
-        return (math.log(size / base, 10) + 1) * th
-    return max((size / base) * th, th / lim)
-
-
 def test_icon_threshold_both_branches(spark):
-    sizes = [1, 12500, 12501, 49999, 50000, 100000, 6000000]
-    df = spark.createDataFrame([(s,) for s in sizes], "wiki_size bigint")
-    got = [r[0] for r in df.select(C.icon_threshold("wiki_size")).collect()]
-    for s, g in zip(sizes, got):
-        assert abs(g - _reference_threshold(s)) < 1e-9
-    assert got[0] == 3.75 and got[4] == 15.0
+    # below the base size: proportional, with a floor of 3.75; from it on: 15 * (1 + log10 of the ratio)
+    want = {1: 3.75, 12500: 3.75, 12501: 3.7503, 25000: 7.5, 49999: 14.9997, 50000: 15.0, 500000: 30.0, 5000000: 45.0}
+    df = spark.createDataFrame([(s,) for s in want], "wiki_size bigint")
+    got = {r[0]: r[1] for r in df.select("wiki_size", C.icon_threshold("wiki_size")).collect()}
+    assert all(abs(got[s] - want[s]) < 1e-9 for s in want)
 
 
 def test_quote_and_comma_names_are_never_icons(spark):
@@ -95,12 +85,12 @@ def test_category_without_dotted_titles_gives_nothing(spark):
     assert [(r.page_id, r.image) for r in out] == [(2, "B.jpg")]
 
 
-def test_category_numbering_is_dense_and_salted(spark):
+def test_category_numbering_is_dense_and_in_title_order(spark):
     rows = [("Big", f"F{i}.jpg") for i in range(500)] + [("Small", "s.jpg")]
     files = spark.createDataFrame(rows, "cl_to string, page_title string")
-    num = P.numbered_category_images(files, buckets=16)
-    big = sorted(r.idx for r in num.where("cl_to = 'Big'").collect())
-    assert big == list(range(500))
+    num = P.numbered_category_images(files)
+    big = {r.page_title: r.idx for r in num.where("cl_to = 'Big'").collect()}
+    assert big == {t: i for i, t in enumerate(sorted(big))} and len(big) == 500
     assert [r.idx for r in num.where("cl_to = 'Small'").collect()] == [0]
 
 
@@ -164,28 +154,62 @@ def test_export_empty_strings_unquoted(spark, scratch):
     assert text[1] == "1\tT\t\t\t\tds\t1.0\t"
 
 
-def test_html_description_caption_depicts():
+def test_html_description_and_caption():
     html = """<html><body>
       <div class="description mw-content-ltr en">first</div>
       <div class="description mw-content-ltr en"> last wins </div>
       <div class="wbmi-caption-value" lang="en">A cat</div>
       <div class="wbmi-caption-value extra" lang="fr">Un chat</div>
-      <div data-property="P180" data-formatvalue='{"k": {}, "a": {"text/plain": {"en": {"P180": "cat"}}},
-           "b": {"text/plain": {"fr": {"P180": "chat"}}}}'></div>
-      <div data-property="P275" data-formatvalue='{"k": {}, "a": {"text/plain": {"en": {"P275": "CC0"}}}}'></div>
     </body></html>"""
     doc = H.parse(html)
     assert H.description(doc, "en", "ltr") == "last wins"
     assert H.caption(doc, "en") == "A cat"
     assert H.caption(doc, "fr") is None  # two classes
-    assert H.depicts(doc, "en") == (["cat"], "CC0")
-    assert H.depicts(doc, "de") == ([], None)  # missing language: no value, no error
     en_fallback = H.parse('<div class="description"><div>nested</div></div>')
     assert H.description(en_fallback, "en", "ltr") is None
     assert H.description(H.parse('<td class="description">td text</td>'), "en", "ltr") == "td text"
     assert H.description(H.parse('<td class="description">td text</td>'), "fr", "ltr") is None
 
 
+def test_depicts_values(spark):
+    from picsel.operators import page_metadata as M
+    block = lambda prop, text: f"<div data-property='{prop}' data-formatvalue='{text}'></div>"
+    value = lambda lang, prop, text: f'{{"text/plain": {{"{lang}": {{"{prop}": "{text}"}}}}}}'
+    html = (block("P180", f'{{"skipped": {value("en", "P180", "no")}, "b": {value("en", "P180", "cat")}, "c": {value("fr", "P180", "chat")}}}')
+            + block("P275", f'{{"a": {{}}, "b": {value("en", "P275", "CC0")}}}') + block("P180", "broken") + block("P31", f'{{"a": {{}}, "b": {value("en", "P180", "x")}}}'))
+    rows = [("en", "ltr", html), ("de", "ltr", html), ("en", "ltr", None), ("en", "ltr", "")]
+    got = M.page_fields(spark.createDataFrame(rows, "language string, direction string, html string")).select("language", "depicts", "licence").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("en", ["cat"], "CC0"), ("de", [], None), ("en", [], None)], key=str)
+
+
+def test_exact_values_are_counted_apart(spark):
+    df = spark.createDataFrame([(None, 1e-7), ([""], 2e-7), ([], 3e-7), ([""], 1e-7)], "a array<string>, d double")
+    got = [(r["column"], r["value"], r["count"]) for r in E.column_frequencies(df).collect()]
+    assert sorted(got, key=str) == sorted([("a", None, 1), ("a", '[""]', 2), ("a", "[]", 1), ("d", "1.0E-7", 2), ("d", "2.0E-7", 1), ("d", "3.0E-7", 1)], key=str)
+    assert [c for k, _, c in got if k == "a"][0] == 2
+
+
+def test_std_of_large_close_values(spark):
+    df = spark.createDataFrame([(10 ** 9 + i,) for i in range(4)], "n bigint")
+    assert abs(E.describe(df, "n").first()["std"] - 1.2909944487) < 1e-9
+
+
+def test_large_page_ids_are_served(spark):
+    cols = ("page_id string, page_title string, image_id string, confidence_rating string, source string, dataset_id string, insertion_ts double, "
+            "wiki string, found_on array<string>, is_article_page boolean, snapshot string")
+    prod = spark.createDataFrame([(i, "T", "I.jpg", "high", "wikidata", "ds", 1.0, "enwiki", None, True, "2021-01") for i in ("3000000000", "x", "7")], cols)
+    assert sorted(r.page_id for r in D.search_table(prod, "2021-01-25").collect()) == [7, 3000000000]
+    assert [(r.page_id, r.n) for r in D.unserved_page_ids(prod).collect()] == [("x", 1)]
+    assert 3000000000 in [r.page_id for r in D.serving_table(D.export_rows(prod)).collect()]
+
+
+def test_box_stats_by_group(spark):
+    df = spark.createDataFrame([("a", v) for v in (1, 2, 3, 100)] + [("b", 5)], "g string, v bigint")
+    got = {r.g: (r.median, r.n_outliers) for r in E.box_stats(df, "v", by=("g",)).collect()}
+    assert got == {"a": (2.5, 1), "b": (5.0, 0)}
+    assert E.box_stats(df, "v").count() == 1
+
+
 def test_label_language_and_month(spark):
     df = spark.createDataFrame([("arwiki", "2021-01-25"), ("zh_min_nanwiki", "2020-12-28")], "w string, s string")
     out = df.select(C.label_language("w"), C.month_of("s")).collect()

@@ -1,4 +1,4 @@
-"""Sinks: candidates TSV round trip, dynamic partition overwrite, table registration, streaming publish."""
+"""Sinks: candidates TSV round trip, dynamic partition overwrite, table registration, the whole job."""
 
 import glob
 import os
@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from picsel.operators import publish as D
 from picsel.plans.registry import run_for
-from picsel.schemas import RAW_SCHEMA
 from picsel.sources.readers import read_candidates_tsv, read_partitioned_tsv, read_raw_parquet
-from picsel.streaming.incremental_publish import start_incremental_publish
 from conftest import SF_SMALL, same_rows
 
 
@@ -61,24 +59,7 @@ def test_serving_table_layout(spark, scratch):
     D.write_serving(serving, scratch + "/serving")
     back = spark.read.parquet(scratch + "/serving")
     assert back.count() == serving.count()
-    assert dict(back.dtypes)["page_id"] == "int"
-
-
-def test_streaming_publish_matches_batch(spark, scratch):
-    run = run_for(spark, SF_SMALL)
-    D.publish_raw(run.raw, scratch + "/raw")
-    q = start_incremental_publish(spark, scratch + "/raw", scratch + "/prod", scratch + "/ckpt",
-                                  "ds", 1.0, "2021-01")
-    q.awaitTermination(300)
-    streamed = spark.read.parquet(scratch + "/prod")
-    batch = run.production_table("ds", 1.0)
-    assert same_rows(streamed.select(*batch.columns), batch)
-    # a second run over the same files adds nothing (exactly-once file tracking)
-    q = start_incremental_publish(spark, scratch + "/raw", scratch + "/prod", scratch + "/ckpt",
-                                  "ds", 1.0, "2021-01")
-    q.awaitTermination(300)
-    assert spark.read.parquet(scratch + "/prod").count() == batch.count()
-    assert RAW_SCHEMA.fieldNames()[-2:] == ["wiki_db", "snapshot"]
+    assert dict(back.dtypes)["page_id"] == "bigint"
 
 
 def test_full_job_writes_every_output(spark, scratch):
@@ -98,16 +79,49 @@ def test_full_job_writes_every_output(spark, scratch):
         "arwiki", "enwiki", "frwiki", "kowiki"]
 
 
-def test_salted_files_per_partition(spark, scratch):
+def test_large_partitions_are_spread_and_sorted(spark, scratch):
     run = run_for(spark, SF_SMALL)
     prod = run.production_table("ds", 1.0)
     old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        D.publish_production(prod, scratch + "/prod", files_per_partition=3)
+        D.publish_production(prod, scratch + "/prod", rows_per_file=20)
+        D.publish_search(D.search_table(prod, "2021-01-25"), scratch + "/search", rows_per_file=20)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
-    parts = glob.glob(scratch + "/prod/wiki=*/snapshot=*")
-    files = [len(glob.glob(p + "/*.parquet")) for p in parts]
-    assert parts and max(files) > 1 and max(files) <= 3
+    files = glob.glob(scratch + "/prod/wiki=*/snapshot=*/*.parquet")
+    assert len(files) > len(glob.glob(scratch + "/prod/wiki=*/snapshot=*"))
+    assert len(glob.glob(scratch + "/search/*/*/*/*.parquet")) > 1
+    for f in files:
+        titles = [r.page_title for r in spark.read.parquet(f).collect()]
+        assert titles == sorted(titles, reverse=True)
     assert same_rows(spark.read.parquet(scratch + "/prod").select(*prod.columns), prod)
+
+
+def test_spread_names_missing_columns(spark):
+    import pytest
+    with pytest.raises(ValueError, match="page_id"):
+        D.spread(spark.range(3), ["id"], ["page_id"])
+
+
+def test_runs_read_only_their_snapshot(spark, scratch):
+    """Two snapshots of every source table: a run for the second reads only it, by partition pruning."""
+    from picsel.plans.recommend import RecommendationRun
+    from picsel.sources.standins import StandIns
+    src = StandIns(spark, SF_SMALL)
+    for name in ("page", "imagelinks", "page_props", "categorylinks", "item_page_link", "entity", "placeholder_category"):
+        df = getattr(src, name)
+        if name == "placeholder_category":
+            df.write.parquet(f"{scratch}/{name}")
+            continue
+        first, second = ("2021-01", "2021-02") if name not in ("item_page_link", "entity") else ("2021-01-25", "2021-02-22")
+        thin = df.where("wiki_db <> 'frwiki'") if "wiki_db" in df.columns else df
+        both = df.withColumn("snapshot", F.lit(first)).unionByName(thin.withColumn("snapshot", F.lit(second)))
+        both.write.partitionBy(*[c for c in ("snapshot", "wiki_db") if c in df.columns]).parquet(f"{scratch}/{name}")
+    run = RecommendationRun.from_parquet(spark, scratch, "2021-02-22")
+    plan = run.tables.page._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot" in plan and "2021-02" in plan
+    rows = run.raw.select("wiki_db", "snapshot").distinct().collect()
+    assert {r.snapshot for r in rows} == {"2021-02"} and "frwiki" not in {r.wiki_db for r in rows}
+    old = RecommendationRun.from_parquet(spark, scratch, "2021-01-25")
+    assert same_rows(old.raw, run_for(spark, SF_SMALL).raw)

@@ -1,4 +1,5 @@
-"""Benchmark: the headline stages of the all-wikis recommendation run, plus a one-wiki-at-a-time loop.
+"""Benchmark: the headline stages of the all-wikis recommendation run, the sinks, and a
+one-wiki-at-a-time loop. ``value`` is the seconds of the run without the sinks, as in earlier rounds.
 
 Prints ONE JSON line: {"metric", "value", "unit", "queries": {name: seconds}, "sf", ...}.
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
@@ -10,13 +11,15 @@ import json
 import os
 import sys
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from picsel.operators import metrics as E  # noqa: E402
+from picsel.operators import publish as D  # noqa: E402
 from picsel.plans.recommend import RecommendationRun, materialize  # noqa: E402
-from picsel.session import build_session  # noqa: E402
-from picsel.sources.standins import MONTH, STANDIN_WIKIS  # noqa: E402
+from picsel.session import build_session, stage_root  # noqa: E402
+from picsel.sources.standins import FULL_DATE, MONTH, STANDIN_WIKIS  # noqa: E402
 
 DATASET_ID = "bench"
 INSERTION_TS = 1611532800.0
@@ -32,7 +35,7 @@ def _timed(fn) -> float:
     return time.perf_counter() - t
 
 
-def run_all(spark, sf_dir: str, wikis=None) -> dict[str, float]:
+def run_all(spark, sf_dir: str, wikis=None):
     """Pool (staged, checkpointed) -> selection -> production rows -> two metrics."""
     run = RecommendationRun.standin(spark, sf_dir, wikis=wikis)
     out = {}
@@ -45,26 +48,40 @@ def run_all(spark, sf_dir: str, wikis=None) -> dict[str, float]:
     prod = holder["prod"]
     out["suggestion_histogram"] = _timed(lambda: _sink(E.suggestion_histogram(prod, MONTH)))
     out["column_frequencies"] = _timed(lambda: _sink(E.column_frequencies(prod)))
-    return out
+    return out, run, prod
+
+
+def run_writers(spark, run, prod) -> dict[str, float]:
+    """The sinks over the finished production table."""
+    root = f"{stage_root(spark)}/bench-{uuid.uuid4().hex}"
+    return {
+        "write_candidates": _timed(lambda: D.write_candidates(run.raw, f"{root}/candidates")),
+        "publish_production": _timed(lambda: D.publish_production(prod, f"{root}/production")),
+        "publish_search": _timed(lambda: D.publish_search(D.search_table(prod, FULL_DATE, MONTH), f"{root}/search")),
+        "write_exports": _timed(lambda: D.write_exports(D.export_rows(prod, MONTH), f"{root}/exports")),
+        "write_serving": _timed(lambda: D.write_serving(D.serving_table(D.export_rows(prod, MONTH)), f"{root}/serving")),
+    }
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
-    run_all(spark, "/root/testdata/sf0.001")  # warm-up: JVM, code paths, parquet footers
+    _, run, prod = run_all(spark, "/root/testdata/sf0.001")  # warm-up: JVM, code paths, parquet footers
+    run_writers(spark, run, prod)
     t0 = time.perf_counter()
-    queries = run_all(spark, sf_dir)
+    queries, run, prod = run_all(spark, sf_dir)
     total = time.perf_counter() - t0
+    writers = run_writers(spark, run, prod)
     t1 = time.perf_counter()
     for w in STANDIN_WIKIS:
         run_all(spark, sf_dir, wikis=(w,))
     loop_total = time.perf_counter() - t1
-    queries = {k: round(v, 3) for k, v in queries.items()}
+    queries = {k: round(v, 3) for k, v in (queries | writers).items()}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "all_wikis_run_seconds", "value": round(total, 3), "unit": "sec", "queries": queries,
-        "sf": sf, "per_wiki_loop_seconds": round(loop_total, 3),
+        "sf": sf, "per_wiki_loop_seconds": round(loop_total, 3), "write_seconds": round(sum(writers.values()), 3),
         "speedup_vs_per_wiki_loop": round(loop_total / total, 2) if total > 0 else None,
     }))
     spark.stop()

@@ -9,7 +9,7 @@ largest response of a window gets a gradient. For prediction, tables of neighbou
 pairs.
 
 Training reads at most ``SAMPLE`` documents of each language (those with the smallest hash of the id) and ``PER_DOC`` windows of
-each, spread over the text: a bounded sample, whatever the size of the table.
+each, spread over the text, for the ``LANGUAGES`` most frequent languages: a bounded sample, whatever the size of the table.
 
 Odd rows: null texts and texts without a letter get ``und`` and score 0; rows without a language are not learned from; without
 any labelled row every text gets ``und``; repeated rows get equal answers.
@@ -28,7 +28,7 @@ from picsel.llm.common import blocks, utf8
 
 WINDOW = 256
 WIDTHS, FILTERS = (2, 3, 4), 8
-SAMPLE, PER_DOC = 800, 2
+SAMPLE, PER_DOC, LANGUAGES = 800, 2, 200
 EPOCHS, RATE, SEED = 8, 0.01, 7
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -119,7 +119,7 @@ def _sample(docs: DataFrame) -> DataFrame:
     """
     own = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text").filter(F.col("text").rlike(r"\p{L}"))
     own = own.withColumn("hash", F.xxhash64("doc_id"))
-    counts = own.groupBy("lang").agg(F.count("*").alias("n"))  # one row a language
+    counts = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
     near = F.col("hash") <= F.lit(-2.0 ** 63) + F.lit(2.0 ** 64) * F.least(F.lit(1.0), F.lit(4.0 * SAMPLE) / F.col("n"))
     order = Window.partitionBy("lang").orderBy("hash", F.xxhash64("text"))
     own = own.join(F.broadcast(counts), "lang").filter(near).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE)

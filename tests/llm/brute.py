@@ -75,6 +75,8 @@ def best_window(text, item, width=5):
     k = min(width, len(b))
     grams = lambda w: [tuple(w[i:i + k]) for i in range(len(w) - k + 1)]
     own, want = grams(a), grams(b)
+    if not set(own) & set(want):
+        return 0.0
     target, best = Counter(want), 0.0
     for i in range(max(1, len(own) - len(want) + 1)):
         window = Counter(own[i:i + len(want)])

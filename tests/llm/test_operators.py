@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import io
 import json
@@ -213,9 +214,14 @@ def test_write_shards(spark, documents, scratch):
     assert spark.read.parquet(f"{scratch}/shards").count() == docs.count()
 
 
-def library(model_path, text):
+@functools.cache
+def tokenizer(model_path):
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(model_path)
+    return Tokenizer.from_file(model_path)
+
+
+def library(model_path, text):
+    t = tokenizer(model_path)
     ids = t.encode(text or "", add_special_tokens=False).ids
     return ids, t.decode(ids, skip_special_tokens=False)
 
@@ -302,6 +308,14 @@ def test_language_id(spark):
     assert sum(r.lang_pred == r.lang for r in got) > 0.97 * len(got)
 
 
+def test_language_id_sample_is_bounded(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    monkeypatch.setattr(langid, "SAMPLE", 10)
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    got = langid._sample(docs).collect()
+    assert len({r.lang for r in got}) == 3 and 30 <= len(got) <= 3 * 10 * langid.PER_DOC
+
+
 def test_language_id_odd_rows(documents, rows):
     got = langid.train_and_predict(documents).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)

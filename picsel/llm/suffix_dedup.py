@@ -7,7 +7,9 @@ and a smaller start.
    anchor. Equal windows have equal anchors at equal places, so all suffixes that can share ``width`` bytes meet in the bucket
    of one anchor hash, and a bucket is found without sorting the rest. Windows in a row with one anchor form a run.
 2. Runs with the same bytes form a class; all but the earliest run of a class are covered without any sort. Each task first
-   folds its own runs, so a passage in a third of all documents reaches the shuffle once a task.
+   folds its own runs, so a passage in a third of all documents reaches the shuffle once a task. A bucket of which a block
+   of documents alone has ``HOT`` classes, as where a common phrase stands in ever other surroundings, is salted: its runs
+   are dealt out by class as well, and all its classes go on to step 3.
 3. Buckets with several classes are sorted, one bucket or a bounded batch of small ones at a time, by their blockwise suffix
    array: order by the first ``PERIOD`` bytes, then settle longer ties by ternary partition on the ranks of the difference-cover
    sample: for any two suffixes there is an offset below ``PERIOD`` at which both are sample positions, whose ranks to
@@ -37,6 +39,8 @@ GRAM = 32
 PERIOD = 32
 #: Most classes of a bucket that is sorted in one task, and most bytes of a batch of buckets.
 CAP = 20_000
+#: Classes of one bucket in a block of documents from which on the bucket is salted.
+HOT = 256
 BATCH = 3 << 20
 _CHUNK = 1 << 19
 _POS = np.uint64((1 << 20) - 1)
@@ -97,7 +101,12 @@ def _pack(anchor, lo, hi):
     return lo << 14 | (anchor - lo) << 7 | (hi - lo)
 
 
+#: Marks a run of a salted bucket, in ``p``.
+_SALTED = 1 << 61
+
+
 def _unpack(p):
+    p = p & (_SALTED - 1)
     lo = p >> 14
     return lo + (p >> 7 & 127), lo, lo + (p & 127)
 
@@ -114,8 +123,12 @@ def _by_key(key, start, end):
     return tuple(np.concatenate(x) for x in zip(*got)) if got else (np.empty(0, np.int64),) * 3
 
 
-def _fold_runs(width):
-    """Runs of a block of documents: the earliest of each class, and what its others cover (``p`` negative, ``c`` the end)."""
+def _fold_runs(width, hot):
+    """Runs of a block of documents: the earliest of each class, and what its others cover (``p`` negative, ``c`` the end).
+
+    The runs of a bucket with ``hot`` classes are marked; one run of it that is not tells the bucket's other runs, which may
+    not be marked in other blocks, that they are not alone.
+    """
     def run(it):
         for block in blocks(it, "text", 6 << 20):
             cols = []
@@ -135,10 +148,18 @@ def _fold_runs(width):
             later = np.r_[False, (h[order][1:] == h[order][:-1]) & (c[order][1:] == c[order][:-1])]
             first, rest = order[~later], order[later]
             k, s, e = _by_key(key[rest], lo[rest], hi[rest] + width)
+            bucket = h[first]
+            edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            size = np.diff(np.r_[edge, len(bucket)])
+            many = edge[size >= hot]
+            p[first[np.repeat(size >= hot, size)]] |= _SALTED
+            first = np.r_[first, first[many]]  # once more, as a class of its own that is not marked
+            mark = np.r_[p[first[:len(bucket)]], p[first[len(bucket):]] & ~_SALTED]
             spread = (k * 0x9E3779B1 + s) * 0x85EBCA6B  # anywhere: these rows only pass through
             for x in range(0, len(first), 1 << 16):
                 f = first[x:x + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (h[f], c[f], key[f], p[f])], schema=_RUNS)
+                c_ = c[f] ^ (np.arange(x, x + len(f)) >= len(bucket))
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (h[f], c_, key[f], mark[x:x + (1 << 16)])], schema=_RUNS)
             if len(k):
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in (spread, e, k, -s - 1)], schema=_RUNS)
     return run
@@ -155,6 +176,7 @@ def _classes(width):
 
     def run(it):
         last = waiting = None  # (h, c) of the row before; the first run of a bucket that has shown one class so far
+        marked = None  # (h, c) of the marked row before
         for batch in it:
             h, c, key, p = (batch.column(i).to_numpy() for i in range(4))
             through = p < 0
@@ -163,6 +185,18 @@ def _classes(width):
                 none = pa.nulls(len(k), pa.int64())
                 yield emit(none, k, none, s, e)
                 h, c, key, p = h[~through], c[~through], key[~through], p[~through]
+            salted = p & _SALTED != 0
+            if salted.any():
+                sh, sc, sk, sp = h[salted], c[salted], key[salted], p[salted]
+                new = np.r_[marked is None or (sh[0], sc[0]) != marked, (sh[1:] != sh[:-1]) | (sc[1:] != sc[:-1])]
+                marked = (sh[-1], sc[-1])
+                none = pa.nulls(int(new.sum()), pa.int64())
+                yield emit(sh[new], sk[new], sp[new] & (_SALTED - 1), none, none)
+                _, lo, hi = _unpack(sp[~new])
+                k, s, e = _by_key(sk[~new], lo, hi + width)
+                none = pa.nulls(len(k), pa.int64())
+                yield emit(none, k, none, s, e)
+                h, c, key, p = h[~salted], c[~salted], key[~salted], p[~salted]
             if not len(h):
                 continue
             new_h = np.r_[last is None or h[0] != last[0], h[1:] != h[:-1]]
@@ -274,8 +308,7 @@ def _repeats(rows: list[tuple], width: int) -> tuple[np.ndarray, ...]:
     who = np.searchsorted(base, pos, "right") - 1
     k, s = key[who], lo[who] + pos - base[who]
     edge = np.flatnonzero(~same)
-    rank = np.empty(len(pos), np.int64)
-    rank[np.lexsort((s, k))] = np.arange(len(pos))
+    rank = _dense(k, s)  # a run may come twice: its windows are no repeats of themselves
     first = np.repeat(np.minimum.reduceat(rank, edge), np.diff(np.r_[edge, len(pos)]))
     later = rank != first
     return _by_key(k[later], s[later], s[later] + width)
@@ -353,11 +386,12 @@ def _packed(keyed: DataFrame) -> DataFrame:
     return keyed.select("key", "text").mapInArrow(run, "key long, packed binary")
 
 
-def covered(keyed: DataFrame, width: int = WIDTH, cap: int = CAP) -> DataFrame:
+def covered(keyed: DataFrame, width: int = WIDTH, cap: int = CAP, hot: int = HOT) -> DataFrame:
     """``key, start, end`` byte ranges to remove; ``keyed`` has unique ``key`` (in order of precedence) and ``text``."""
-    rows = keyed.select("key", "text").mapInArrow(_fold_runs(width), _RUNS_DDL)
+    rows = keyed.select("key", "text").mapInArrow(_fold_runs(width, hot), _RUNS_DDL)
     parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(parts, "h").sortWithinPartitions("h", "c", "key", "p")
+    salted = (F.col("p") >= 0) & (F.col("p").bitwiseAND(F.lit(_SALTED)) != 0)
+    ordered = rows.repartition(parts, F.when(salted, F.xxhash64("h", "c")).otherwise(F.col("h"))).sortWithinPartitions("h", "c", "key", "p")
     found = stage(ordered.mapInArrow(_classes(width), _FOUND_DDL), "classes")
     ranges = found.filter("h is null").select("key", "start", "end")
     listed = found.filter("h is not null").select("h", "key", "p")
@@ -398,12 +432,12 @@ def keyed_by_id(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, boo
     return stage(ordered.withColumn("__picsel_key", F.monotonically_increasing_id()), "keyed"), True
 
 
-def _range_lists(keyed: DataFrame, width: int, cap: int) -> DataFrame:
+def _range_lists(keyed: DataFrame, width: int, cap: int, hot: int) -> DataFrame:
     """``key`` and its ranges; a list has at most as many ranges as the text has windows."""
-    return covered(keyed, width, cap).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+    return covered(keyed, width, cap, hot).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
 
 
-def removed(docs: DataFrame, width: int = WIDTH, cap: int = CAP) -> DataFrame:
+def removed(docs: DataFrame, width: int = WIDTH, cap: int = CAP, hot: int = HOT) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, spans`` (byte ranges) and ``kept_sha256`` of the remaining bytes."""
     docs, ranked = keyed_by_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     keyed = docs.select(F.col("__picsel_key").alias("key"), "text")
@@ -422,7 +456,7 @@ def removed(docs: DataFrame, width: int = WIDTH, cap: int = CAP) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
 
-    got = _packed(keyed).join(_range_lists(keyed, width, cap), "key", "left").select("key", "packed", "ranges").mapInArrow(
+    got = _packed(keyed).join(_range_lists(keyed, width, cap, hot), "key", "left").select("key", "packed", "ranges").mapInArrow(
         run, "key long, n_bytes long, n_removed long, n_spans long, spans array<struct<start:long,end:long>>, kept_sha256 string")
     if ranked:
         got = got.join(docs.select(F.col("__picsel_key").alias("key"), "doc_id"), "key")
@@ -440,13 +474,13 @@ def _whole_characters(raw: bytes, start: int, end: int) -> tuple[int, int]:
     return start, end
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, cap: int = CAP) -> DataFrame:
+def without_repeats(docs: DataFrame, width: int = WIDTH, cap: int = CAP, hot: int = HOT) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text`` (and ``n_chars`` set, if there is such a column).
 
     A character is cut only if all its bytes are. Documents of which no word is left are dropped, if anything was cut.
     """
     keyed, _ = keyed_by_id(docs)
-    lists = _range_lists(keyed.select(F.col("__picsel_key").alias("key"), "text"), width, cap).toDF("__picsel_k", "__picsel_ranges")
+    lists = _range_lists(keyed.select(F.col("__picsel_key").alias("key"), "text"), width, cap, hot).toDF("__picsel_k", "__picsel_ranges")
     joined = keyed.join(lists, F.col("__picsel_key") == F.col("__picsel_k"), "left").drop("__picsel_key", "__picsel_k")
     at, names = docs.columns.index("text"), docs.columns
 

@@ -12,7 +12,7 @@ A reader takes the footer, the seek table and only the frames that hold the aske
 checksum. Files are written to a name of the attempt and then renamed, so a lost or repeated task leaves whole files only.
 
 Odd rows: a null text is empty (its end id alone); documents without an id come first; rows with equal ids are ordered by
-text; an empty table gives no rows.
+a hash of their text; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -187,7 +187,9 @@ def write_files(docs: DataFrame, folder: str, model_path: str, end_id: int = 1)
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = source.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # the hash tells rows with one id apart, so that many of them need not meet in one file
+    order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
+    ordered = source.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     made = stage(ordered.mapInArrow(run, "part int, file string, n_docs long, n_tokens long"), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return made.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long"))

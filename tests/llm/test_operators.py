@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from picsel.llm import bpe, chat, decontam, langid, lm, quality, sharding, simhash, suffix_dedup, token_store
@@ -111,8 +112,10 @@ def ordered(rows):
     return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or ""))
 
 
-@pytest.mark.parametrize("cap", [suffix_dedup.CAP, 3])
-def test_suffix_dedup(documents, rows, cap):
+@pytest.mark.parametrize("cap, hot", [(suffix_dedup.CAP, suffix_dedup.HOT), (3, 256), (20_000, 2), (3, 2)])
+def test_suffix_dedup(documents, rows, cap, hot):
+    if hot == 2:  # unique ids keep their partitions: many blocks, marked and unmarked runs of one bucket
+        documents, rows = documents.where("doc_id < 900").repartition(16), [r for r in rows if r[0] is not None and r[0] < 900]
     rows = ordered(rows)
     raws = [(t or "").encode() for _, t in rows]
     want = []
@@ -120,7 +123,7 @@ def test_suffix_dedup(documents, rows, cap):
         spans = sum(1 for k in range(len(mask)) if mask[k] and not (k and mask[k - 1]))
         left = bytes(b for b, m in zip(raw, mask) if not m)
         want.append(key((i, len(raw), sum(mask), spans, hashlib.sha256(left).hexdigest())))
-    got = suffix_dedup.removed(documents, cap=cap).collect()
+    got = suffix_dedup.removed(documents, cap=cap, hot=hot).collect()
     assert sorted(key((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in got) == sorted(want)
 
 
@@ -245,7 +248,10 @@ def test_bpe_documents(documents, encoded, model_path):
 
 def test_token_files(documents, encoded, rows, model_path):
     got = token_store.round_trip(documents, model_path).collect()
-    texts = sorted(zip(rows, encoded), key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[0][1] is not None, x[0][1] or ""))
+    def order(x):
+        h = 42 if x[0][1] is None else xxhash.xxh64_intdigest(x[0][1].encode(), 42)
+        return x[0][0] is not None, x[0][0] or 0, h - (h >> 63 << 64)
+    texts = sorted(zip(rows, encoded), key=order)
     want, at = [], 0
     for (i, _), (_, ids, _) in texts:
         data = np.array(ids + [1], "<u4").tobytes()

@@ -14,8 +14,8 @@ from picsel.llm.queries import tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the current policy of the rule ledger accepts."""
-    return quality.keep_good(docs)
+    """Documents that the current policy of the rule ledger accepts; abusive stems are learned from the labelled ones."""
+    return quality.keep_good(docs, lexicon=quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,11 @@
 Every rule is evaluated once per document. The ledger keeps the measurements and one long with a bit per failed rule; a policy
 is a versioned mask of rules, so a policy is applied, compared or ablated by bitwise operations, without reading a text again.
 
+The insults of other languages, and new ones, are learned: ``learn`` compares the beginnings of words (4 to 9 letters) in documents
+labelled toxic and clean, and keeps those that are mostly of toxic ones. It reads a bounded sample: of each label, the ``SAMPLE`` documents with
+the smallest md5 of the id; whole texts, equal texts once. Labels of no document, null ids and other labels than 0 and 1 are left
+out; without toxic documents nothing is learned. The rules then cover all documents.
+
 Odd rows: a null text counts as an empty one (no words); each row is judged by itself, so repeated rows and ids get equal
 results; an empty table gives an empty ledger. Columns of the input named like the ledger's are not read.
 """
@@ -10,16 +15,17 @@ results; an empty table gives an empty ledger. Columns of the input named like t
 from __future__ import annotations
 
 import string
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from picsel.llm.common import SPACE, utf8
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower", "n_bangs",
-            "n_abusive")
+            "n_abusive", "n_learned")
 SYMBOLS = b"#*$%&|<>"
 PUNCTUATION = string.punctuation.encode()
 #: Insults that count as abusive words (fixed values).
@@ -28,6 +34,13 @@ ABUSIVE = ("asshole", "bastard", "bitch", "clown", "cretin", "disgusting", "dumb
            "scumbag", "stupid", "trash", "vermin", "worthless")
 _ABUSIVE = frozenset(w.encode() for w in ABUSIVE)
 
+#: Labelled documents that are learned from, by label (0: clean, 1: toxic), and most stems that are kept.
+SAMPLE = {0: 8000, 1: 2000}
+STEMS = 20_000
+#: Lengths of stems, and the toxic documents that a stem must be in.
+LENGTHS = range(4, 10)
+SUPPORT = 8
+
 #: Rules in bit order: name and the SQL condition, over measurements, under which a document fails. New rules are appended,
 #: bits never move.
 RULES = (
@@ -39,15 +52,17 @@ RULES = (
     ("exclamations", "10 * {n_bangs} > {n_words}"),
     ("word_length", "{word_chars} < 2 * {n_words} or {word_chars} > 16 * {n_words}"),
     ("abusive", "{n_abusive} >= 2 and 1000 * {n_abusive} > {n_words}"),
+    ("learned_abuse", "{n_learned} >= 2 and 100 * {n_learned} > {n_words}"),
 )
 BASE = ("too_short", "repeated_windows")
 #: Versioned policies: the rules whose failure rejects a document.
 POLICIES = {
     "base": BASE,
     "v1": BASE + ("symbols", "duplicate_lines", "shouting", "exclamations"),
-    "v2": tuple(name for name, _ in RULES),
+    "v2": tuple(name for name, _ in RULES[:8]),
+    "v3": tuple(name for name, _ in RULES[:9]),
 }
-CURRENT = "v2"
+CURRENT = "v3"
 
 
 def mask(rules) -> int:
@@ -78,10 +93,40 @@ def _repeats(words: list[bytes]) -> tuple[int, dict[bytes, int]]:
     return int(covered.sum()), ids
 
 
+def stems(word: str) -> set[str]:
+    """The beginnings of a word without the punctuation around it, A-Z lower-cased."""
+    word = word.strip(string.punctuation).translate(_TO_LOWER)
+    return {word[:k] for k in LENGTHS} if word else set()
+
+
+def _learned(words: list[bytes], lexicon: Lexicon) -> list[bytes]:
+    """Those of the distinct words that begin with a learned stem."""
+    if not words or not lexicon.stems:
+        return []
+    texts = b"\n".join(words).lower().decode("utf-8").split("\n")
+    heads = lexicon.heads
+    out = []
+    for word, text in zip(words, texts):
+        text = text.strip(string.punctuation)
+        if text[:LENGTHS[0]] in heads and any(text[:k] in lexicon.stems for k in LENGTHS):
+            out.append(word)
+    return out
+
+
+class Lexicon:
+    """Learned stems, and their first letters to look up first."""
+
+    def __init__(self, stems=()):
+        self.stems = frozenset(stems)
+        self.heads = frozenset(s[:LENGTHS[0]] for s in self.stems)
+
+
+_NONE = Lexicon()
+_TO_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 _UPPER, _LOWER = string.ascii_uppercase.encode(), string.ascii_lowercase.encode()
 
 
-def measure(text: str | None) -> tuple[int, ...]:
+def measure(text: str | None, lexicon: Lexicon = _NONE) -> tuple[int, ...]:
     """The ``MEASURES`` of one text."""
     raw = utf8(text)
     words = raw.split()
@@ -95,21 +140,69 @@ def measure(text: str | None) -> tuple[int, ...]:
                 dup += 1
             seen.add(line)
     abusive = [w for w in ids if w.strip(PUNCTUATION).lower() in _ABUSIVE]
+    learned = _learned(list(ids), lexicon)
+    times = Counter(words) if abusive or learned else {}
     gone = lambda chars: len(raw) - len(raw.translate(None, chars))
     return (len(words), len(text or "") - gone(SPACE), gone(SYMBOLS), dup, repeats, lines, gone(_UPPER), gone(_LOWER), raw.count(b"!"),
-            sum(words.count(w) for w in abusive))
-
-
-def with_measures(docs: DataFrame, text_col: str = "text", prefix: str = "__picsel_q_") -> DataFrame:
+            sum(times[w] for w in abusive), sum(times[w] for w in learned))
+
+
+def _count_stems(it):
+    """Documents and occurrences of each stem in the toxic texts, and occurrences in the clean ones, summed over some batches."""
+    seen: dict[str, list[int]] = {}
+
+    def flush():
+        rows = [(s, *n) for s, n in seen.items()]
+        for a in range(0, len(rows), 1 << 16):
+            stem, *counts = zip(*rows[a:a + (1 << 16)])
+            yield pa.RecordBatch.from_arrays([pa.array(stem, pa.string())] + [pa.array(c, pa.int64()) for c in counts],
+                                             names=["stem", "docs", "toxic", "clean"])
+
+    for batch in it:
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own: Counter = Counter()
+            for word, n in Counter(utf8(text).split()).items():
+                for s in stems(word.decode("utf-8")):
+                    own[s] += n
+            for s, n in own.items():
+                x = seen.setdefault(s, [0, 0, 0])
+                x[0] += toxic
+                x[2 - toxic] += n
+            if len(seen) > 1 << 20:
+                yield from flush()
+                seen.clear()
+    yield from flush()
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Lexicon:
+    """The stems that at least ``SUPPORT`` toxic texts of the sample have, and 85 % of whose occurrences are in toxic texts.
+
+    ``labels`` has the columns ``doc_id`` and ``toxic`` (0 or 1).
+    """
+    rows = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("long").alias("toxic"))
+    order = Window.partitionBy("toxic").orderBy(F.md5(F.col("id").cast("string")), "id")
+    ranked = rows.filter("id is not null and toxic in (0, 1)").withColumn("place", F.row_number().over(order))
+    chosen = ranked.filter(F.col("place") <= max(SAMPLE.values())).filter(F.col("place") <= F.when(F.col("toxic") == 1, SAMPLE[1]).otherwise(SAMPLE[0]))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
+    # at most the sample's ids are broadcast
+    texts = source.join(F.broadcast(chosen.select("id", "toxic").distinct()), "id").select("text", "toxic").distinct()
+    counted = texts.mapInArrow(_count_stems, "stem string, docs long, toxic long, clean long")
+    total = counted.groupBy("stem").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    found = total.filter((F.col("docs") >= SUPPORT) & (20 * F.col("toxic") >= 17 * (F.col("toxic") + F.col("clean"))))
+    return Lexicon(r.stem for r in found.orderBy(F.desc("docs"), F.desc("toxic"), "stem").limit(STEMS).select("stem").collect())
+
+
+def with_measures(docs: DataFrame, text_col: str = "text", prefix: str = "__picsel_q_", lexicon: Lexicon = _NONE) -> DataFrame:
     """``docs`` with one column per measurement, named ``prefix`` + name."""
     fields = [f for f in docs.schema.fields if not f.name.startswith(prefix)]
     source = docs.select(*[F.col(f"`{f.name}`") for f in fields])
     at = [f.name for f in fields].index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # STEMS short strings at most
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"{prefix}{m} long" for m in MEASURES])
 
     def run(it):
         for batch in it:
-            got = np.array([measure(t) for t in batch.column(at).to_pylist()], np.int64).reshape(-1, len(MEASURES))
+            got = np.array([measure(t, shared.value) for t in batch.column(at).to_pylist()], np.int64).reshape(-1, len(MEASURES))
             yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(np.ascontiguousarray(got[:, i])) for i in range(len(MEASURES))],
                                              names=batch.schema.names + [prefix + m for m in MEASURES])
 
@@ -130,9 +223,10 @@ def failure_bits(prefix: str = "") -> Column:
     return out
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lexicon: Lexicon = _NONE) -> DataFrame:
     """``doc_id``, the measurements and ``failed`` (the failure bits) of every row."""
-    found = with_measures(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    found = with_measures(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")),
+                          lexicon=lexicon)
     return found.select("doc_id", *[F.col(f"__picsel_q_{m}").alias(m) for m in MEASURES]).withColumn("failed", failure_bits())
 
 
@@ -157,6 +251,6 @@ def ablation(book: DataFrame, policy: str = CURRENT) -> DataFrame:
         count((all_bits == 0) | (all_bits == one))("n_kept_without"))
 
 
-def keep_good(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
+def keep_good(docs: DataFrame, policy: str = CURRENT, lexicon: Lexicon = _NONE) -> DataFrame:
     """The rows of ``docs`` that the policy accepts, with their own columns."""
-    return with_measures(docs).filter(passes(policy, failure_bits("__picsel_q_"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return with_measures(docs, lexicon=lexicon).filter(passes(policy, failure_bits("__picsel_q_"))).select(*[F.col(f"`{c}`") for c in docs.columns])

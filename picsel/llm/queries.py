@@ -24,7 +24,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    book = quality.ledger(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    book = quality.ledger(docs, lexicon=quality.learn(docs, table(spark, sf_dir, "labels")))
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        (~quality.passes("base")).alias("base_failed"), quality.passes().alias("kept"), "failed")
 
@@ -81,8 +82,24 @@ _ABUSIVE_LIST = ", ".join(f"'{w}'" for w in quality.ABUSIVE)
 _PUNCTUATION = quality.PUNCTUATION.decode().replace("'", "''")
 _FAILED = " + ".join(f"CASE WHEN {c} THEN {1 << i} ELSE 0 END" for i, c in enumerate(quality.conditions()))
 
+_STEM_LIST = ", ".join(f"left(c, {k})" for k in quality.LENGTHS)
+_BARE = f"translate(trim(w, '{_PUNCTUATION}'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 _QUALITY_SQL = rf"""
-WITH t AS (
+WITH chosen AS (
+  SELECT doc_id, toxic FROM (
+    SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id::VARCHAR), doc_id) AS place
+    FROM labels WHERE doc_id IS NOT NULL AND toxic IN (0, 1))
+  WHERE place <= CASE WHEN toxic = 1 THEN {quality.SAMPLE[1]} ELSE {quality.SAMPLE[0]} END),
+sample AS (SELECT row_number() OVER () AS k, text, toxic FROM (SELECT DISTINCT text, toxic FROM documents JOIN chosen USING (doc_id) WHERE text IS NOT NULL)),
+sample_words AS (SELECT k, toxic, {_BARE} AS c FROM (SELECT k, toxic, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM sample)),
+sample_stems AS (SELECT k, toxic, unnest(list_distinct([{_STEM_LIST}])) AS stem FROM sample_words WHERE c <> ''),
+lexicon AS MATERIALIZED (
+  SELECT stem FROM (
+    SELECT stem, count(DISTINCT k) FILTER (WHERE toxic = 1) AS docs, count(*) FILTER (WHERE toxic = 1) AS hits, count(*) AS n
+    FROM sample_stems GROUP BY stem)
+  WHERE docs >= {quality.SUPPORT} AND 20 * hits >= 17 * n ORDER BY docs DESC, hits DESC, stem LIMIT {quality.STEMS}),
+t AS (
   SELECT doc_id, row_number() OVER () AS k, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
@@ -90,14 +107,18 @@ WITH t AS (
 grams AS (SELECT k, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
 again AS (SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, g) AS n FROM grams) WHERE n > 1),
 covered AS (SELECT k, count(DISTINCT i + d) AS n_repeat_words FROM again, (VALUES (0), (1), (2)) AS v(d) GROUP BY k),
+bare AS MATERIALIZED (SELECT k, {_BARE} AS c FROM (SELECT k, unnest(w) AS w FROM t)),
+learned AS (SELECT DISTINCT c FROM (SELECT c, unnest([{_STEM_LIST}]) AS stem FROM (SELECT DISTINCT c FROM bare WHERE c <> '')) JOIN lexicon USING (stem)),
+l AS (SELECT k, count(*) AS n_learned FROM bare JOIN learned USING (c) GROUP BY k),
 m AS (
   SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
          len(lines)::BIGINT AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
          length(regexp_replace(text, '[^a-z]', '', 'g')) AS n_lower, length(regexp_replace(text, '[^!]', '', 'g')) AS n_bangs,
-         len(list_filter(w, lambda x: lower(trim(x, '{_PUNCTUATION}')) IN ({_ABUSIVE_LIST}))) AS n_abusive
-  FROM t LEFT JOIN covered USING (k)),
+         len(list_filter(w, lambda x: lower(trim(x, '{_PUNCTUATION}')) IN ({_ABUSIVE_LIST}))) AS n_abusive,
+         coalesce(n_learned, 0) AS n_learned
+  FROM t LEFT JOIN covered USING (k) LEFT JOIN l USING (k)),
 f AS (SELECT *, ({_FAILED})::BIGINT AS failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & {quality.mask(quality.POLICIES["base"])} <> 0 AS base_failed,
        failed & {quality.mask(quality.POLICIES[quality.CURRENT])} = 0 AS kept, failed

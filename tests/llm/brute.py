@@ -53,6 +53,23 @@ def quality(text):
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)
 
 
+def bare(word):
+    word = word.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in word)
+
+
+def stems(docs, toxic):
+    """Stems by the rule of the quality operator; for tables no larger than its sample."""
+    docs_of, hits = Counter(), (Counter(), Counter())
+    for text, t in {(t, toxic[i]) for i, t in docs if i in toxic and t is not None}:
+        found = [{bare(w)[:k] for k in range(4, 10)} for w in WORD.findall(text) if bare(w)]
+        if t:
+            docs_of.update(set().union(*found))
+        for s in found:
+            hits[t].update(s)
+    return {s for s, n in docs_of.items() if n >= 8 and 20 * hits[1][s] >= 17 * (hits[0][s] + hits[1][s])}
+
+
 def removed(docs, width=100):
     """Masks of removed bytes of ``docs`` in order."""
     seen, out = set(), []

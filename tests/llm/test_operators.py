@@ -101,13 +101,32 @@ def test_quality_ablation(documents):
 def test_quality_follows_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    got = quality.ledger(docs).withColumn("kept", quality.passes()).join(labels, "doc_id").collect()
+    lexicon = quality.learn(docs, labels)
+    assert lexicon.stems == brute.stems([(r.doc_id, r.text) for r in docs.collect()], {r.doc_id: r.toxic for r in labels.collect()})
+    got = quality.ledger(docs, lexicon=lexicon).withColumn("kept", quality.passes()).join(labels, "doc_id").collect()
     good = [r for r in got if r.quality == 1 and r.toxic == 0 and r.n_words >= 50]
     junk = [r for r in got if r.quality == 0]
     assert sum(r.kept for r in good) > 0.97 * len(good)
     assert sum(r.kept for r in junk) < 0.1 * len(junk)
 
 
+def test_quality_learns_stems_of_any_language(spark):
+    insults = ["Schufté", "schuftig,", "(SCHUFTEN)"]
+    filler = lambda n: " ".join(f"w{n}x{k}" for k in range(60))
+    rows = [(i, f"{filler(i)} {insults[i % 3]} {insults[(i + 1) % 3]} -- common", 1) for i in range(12)]
+    rows += [(i, f"{filler(i)} common -- schule", 0) for i in range(12, 40)]
+    rows += [(40, f"{filler(40)} schuft", 0), (41, None, 1), (42, "", 1), (42, "", 1), (None, f"{filler(43)} schufte schufte", 1), (44, "no label", None)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, stem string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows] + [(99, 1), (98, 2)], "doc_id long, toxic int")
+    lexicon = quality.learn(docs, labels)
+    assert lexicon.stems == {"schuf", "schuft"} | {s for s in lexicon.stems if s.startswith("schuft")}
+    assert lexicon.stems == brute.stems([(i, t) for i, t, _ in rows], {i: t for i, _, t in rows if i is not None and t is not None})
+    kept = {r.doc_id for r in quality.keep_good(docs, lexicon=lexicon).collect()}
+    assert kept == set(range(12, 41))
+    for none in (docs.limit(0), labels.limit(0)):
+        assert not quality.learn(*((none, labels) if "text" in none.columns else (docs, none))).stems
+
+
 def ordered(rows):
     return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or ""))
 

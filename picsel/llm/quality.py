@@ -19,7 +19,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from picsel.llm.common import SPACE, utf8
@@ -174,15 +174,30 @@ def _count_stems(it):
     yield from flush()
 
 
+def _first(rows: DataFrame, toxic: int, n: int) -> DataFrame:
+    """The ``SAMPLE`` rows of a label with the smallest hash, of ``n`` rows.
+
+    Only hashes that can be among the smallest (half as many again as needed, on average) are sorted, so that the sorting task
+    does not grow with the table. Should they be too few, as where an id repeats, all are.
+    """
+    size = SAMPLE[toxic]
+    own = rows.filter(F.col("toxic") == toxic)
+    part = F.conv(F.substring("hash", 1, 12), 16, 10).cast("long")
+    near = own.filter(part <= F.lit(int(1.5 * size / n * (1 << 48)))) if n > 1.5 * size else own
+    if near.limit(size).count() < min(size, n):
+        near = own
+    return near.orderBy("hash", "id").limit(size)
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Lexicon:
     """The stems that at least ``SUPPORT`` toxic texts of the sample have, and 85 % of whose occurrences are in toxic texts.
 
     ``labels`` has the columns ``doc_id`` and ``toxic`` (0 or 1).
     """
     rows = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("long").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.md5(F.col("id").cast("string")), "id")
-    ranked = rows.filter("id is not null and toxic in (0, 1)").withColumn("place", F.row_number().over(order))
-    chosen = ranked.filter(F.col("place") <= max(SAMPLE.values())).filter(F.col("place") <= F.when(F.col("toxic") == 1, SAMPLE[1]).otherwise(SAMPLE[0]))
+    rows = rows.filter("id is not null and toxic in (0, 1)").withColumn("hash", F.md5(F.col("id").cast("string")))
+    counts = dict(rows.groupBy("toxic").count().collect())
+    chosen = _first(rows, 0, counts.get(0, 0)).unionByName(_first(rows, 1, counts.get(1, 0)))
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     # at most the sample's ids are broadcast
     texts = source.join(F.broadcast(chosen.select("id", "toxic").distinct()), "id").select("text", "toxic").distinct()

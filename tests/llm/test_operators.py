@@ -110,6 +110,15 @@ def test_quality_follows_labels(spark):
     assert sum(r.kept for r in junk) < 0.1 * len(junk)
 
 
+def test_quality_sample_is_that_of_the_smallest_hashes(spark):
+    def first(ids):
+        rows = spark.createDataFrame([(i, 1) for i in ids], "id long, toxic long").withColumn("hash", F.md5(F.col("id").cast("string")))
+        return [r.id for r in quality._first(rows, 1, len(ids)).collect()]
+    order = lambda ids: sorted(ids, key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))[:quality.SAMPLE[1]]
+    for ids in ([], range(50), range(9000), [7] * 6000 + list(range(100))):
+        assert first(ids) == order(ids)
+
+
 def test_quality_learns_stems_of_any_language(spark):
     insults = ["Schufté", "schuftig,", "(SCHUFTEN)"]
     filler = lambda n: " ".join(f"w{n}x{k}" for k in range(60))

@@ -8,8 +8,9 @@ item within the radius. Candidates are verified by exact weighted Jaccard simila
 Windows without any shingle of the items are skipped: their similarity is 0. A document with fewer shingles than an item is
 one window itself.
 
-The benchmark is a stated query set against all documents. It is read in blocks of about ``BLOCK_BYTES`` (counted first); each
-block's index is broadcast, and any number of blocks gives the same result.
+The benchmark is a stated query set against all documents. It is read in blocks whose index takes about ``BLOCK_BYTES`` (texts and
+items are counted first); each block's index is broadcast, and any number of blocks gives the same result. A document's windows
+are fingerprinted a bounded stretch at a time, so memory grows with its words only, not with windows times items.
 
 Odd rows: null or word-free texts and items match nothing; every row is judged by itself, so repeated rows give repeated
 results and null ids stay null; an empty benchmark matches nothing.
@@ -29,8 +30,11 @@ WIDTH = 5
 SIMILARITY = 0.8
 BLOCKS = 8
 RADIUS = 23
-#: Most text of a benchmark block that is broadcast at once.
-BLOCK_BYTES = 8 << 20
+#: About the most memory that the index of one benchmark block takes, and what an item takes of it beside its text.
+BLOCK_BYTES = 32 << 20
+ITEM_BYTES = 256 * BLOCKS + 512
+#: Most word places, and most windows times items, of a stretch of windows that is looked up at once.
+STRETCH, CELLS = 4096, 1 << 24
 _WORD = re.compile(r"\w+")
 _NEAR = np.array([[(a ^ b).bit_count() <= RADIUS // BLOCKS for b in range(256)] for a in range(256)])
 
@@ -161,8 +165,8 @@ class Index:
         np.add.at(mark, np.minimum(places, len(mark) - 2) + 1, -1)
         start = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
         best: dict[int, tuple[float, int]] = {}
-        for x in range(0, len(start), 4096):
-            s = start[x:x + 4096]
+        stretch = start // max(1, min(STRETCH, CELLS // len(same.ids)))
+        for s in np.split(start, np.flatnonzero(stretch[1:] != stretch[:-1]) + 1):
             first, last = s[0], s[-1] + size
             prints = _fingerprints(_bit_sums(shingles[first:last]), s - first, size)
             near = same.candidates(prints)
@@ -189,11 +193,11 @@ def _indexes(benchmark: DataFrame, block_bytes: int):
     """One broadcast index for each block of the benchmark."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = items.agg(F.sum(F.octet_length("text") + F.lit(ITEM_BYTES))).first()[0] or 0
     n = -(-total // block_bytes)
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
     for k in range(n):
-        rows = items.filter(block == k).distinct().collect()  # about BLOCK_BYTES, whatever the benchmark's size
+        rows = items.filter(block == k).distinct().collect()  # less than BLOCK_BYTES, whatever the benchmark's size
         yield spark.sparkContext.broadcast(Index([tuple(r) for r in rows]))
 
 

@@ -199,7 +199,7 @@ def test_decontamination(spark, documents, rows):
         for item, text in items + extra:
             if text and (s := brute.best_window(t, text)) >= 0.8:
                 want[key((i, item))] = round(s, 9)
-    for block_bytes in (decontam.BLOCK_BYTES, 500):
+    for block_bytes in (decontam.BLOCK_BYTES, 8 * decontam.ITEM_BYTES):
         got = decontam.contaminated(docs, bench, block_bytes=block_bytes).collect()
         assert {key((r.doc_id, r.item_id)): round(r.similarity, 9) for r in got} == want
     assert {key((990, items[0][0])), key((991, items[1][0])), key((991, 500))} <= set(want)
@@ -217,6 +217,20 @@ def test_multi_index_finds_all_within_the_radius():
     assert (same.candidates(prints) == (away <= decontam.RADIUS)).all()
 
 
+def test_decontamination_stretches_do_not_matter(monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choices(words, k=rng.choice((5, 9, 20))))) for i in range(30)]
+    text = " ".join(" ".join([rng.choice(items)[1], *rng.choices(words, k=rng.randrange(60))]) for _ in range(40))
+    index = decontam.Index(items)
+    want = index.matches(text)
+    assert len(want) > 15
+    for stretch, cells in ((7, decontam.CELLS), (decontam.STRETCH, 40)):
+        monkeypatch.setattr(decontam, "STRETCH", stretch)
+        monkeypatch.setattr(decontam, "CELLS", cells)
+        assert index.matches(text) == want
+
+
 def test_sharding(documents, rows):
     got = sharding.assign(documents, 40).collect()
     assert sorted(key((r.doc_id, r["size"], r.text_crc32)) for r in got) == sorted(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from picsel.llm.common import batches, stage, utf8
-from picsel.llm.components import connected_components
+from picsel.llm.components import connected_components, with_key_values
 
 BITS = 64
 #: Most fingerprints of one BK-tree; larger shards are split further.
@@ -172,8 +172,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, id_col: st
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     roots = connected_components(links(nodes.select("fp"), radius, cap).toDF("src", "dst"))
     nodes = nodes.join(roots.toDF("fp", "root"), "fp", "left").withColumn("group_fp", F.coalesce("root", "fp"))
-    first = nodes.groupBy("group_fp").agg(F.min("first_id").alias("component_id"))
-    groups = stage(nodes.select("fp", "group_fp").join(first, "group_fp"), "groups")
+    first = stage(nodes.groupBy("group_fp").agg(F.min("first_id").alias("component_id"), F.count("*").alias("degree")), "first")
+    # a group has its linked nodes and its root, so linked nodes are at least half of any group's
+    groups = stage(with_key_values(nodes.select("fp", "group_fp"), first, "group_fp", 2 * roots.count()), "groups")
     return rows.join(groups, "fp").select("doc_id", "fp", "group_fp", "component_id")
 
 

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from picsel.llm import bpe, chat, decontam, langid, lm, quality, sharding, simhash, suffix_dedup, token_store
+from picsel.llm import bpe, chat, components, decontam, langid, lm, quality, sharding, simhash, suffix_dedup, token_store
 from picsel.llm import queries as Q
 from tests.llm import brute
 from tests.llm.conftest import ODD, SF
@@ -64,6 +64,20 @@ def test_simhash_splits_crowded_shards(spark):
         assert [find(f) for f in fps] == [fps[i] for i in want]
 
 
+def test_components_with_heavy_nodes(spark, monkeypatch):
+    rng = random.Random(6)
+    pairs = [(0, i) for i in range(1, 40)] + [(100 + i, 101 + i) for i in range(30)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(35)]
+    root = {x: x for p in pairs for x in p}
+    for _ in root:
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    for heavy in (components.HEAVY, 2, 0):
+        monkeypatch.setattr(components, "HEAVY", heavy)
+        got = [tuple(r) for r in components.connected_components(edges).collect()]
+        assert sorted(got) == sorted((x, r) for x, r in root.items() if x != r)
+
+
 def test_simhash_keeps_one_of_each_group(documents, rows):
     kept = simhash.keep_one(documents)
     assert kept.columns == documents.columns

@@ -124,6 +124,22 @@ def test_quality_follows_labels(spark):
     assert sum(r.kept for r in junk) < 0.1 * len(junk)
 
 
+def test_quality_judges_duplicate_lines_by_their_text(spark):
+    words = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    framed, long = words("f", 4), words("r", 30)
+    texts = {1: "\n".join([framed, words("a", 110), framed]),
+             2: "\n".join([framed, words("a", 55), framed, framed + "x", words("b", 55), framed + "x"]),
+             3: "\n".join([long, words("a", 80), long])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == {1, 2}
+    assert {r.doc_id for r in quality.keep_good(docs, "v3").collect()} == set()
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    alone = [quality.mask([r]) for r in ("duplicate_lines", "duplicate_text")]
+    book = quality.ledger(docs.join(labels.filter("quality = 1"), "doc_id"))
+    bits = F.col("failed").bitwiseAND(quality.mask(quality.POLICIES[quality.CURRENT]))
+    assert book.filter(bits.isin(alone)).count() == 0
+
+
 def test_quality_sample_is_that_of_the_smallest_hashes(spark):
     def first(ids):
         rows = spark.createDataFrame([(i, 1) for i in ids], "id long, toxic long").withColumn("hash", F.md5(F.col("id").cast("string")))

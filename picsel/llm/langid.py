@@ -115,14 +115,25 @@ def _sample(docs: DataFrame) -> DataFrame:
     """``lang, window`` of the bounded sample.
 
     Ids are ranked by their hash within a language. A count first tells which hashes can be among the smallest (four times as
-    many as needed on average), so that hardly more than the sample is shuffled, however large a language is.
+    many as needed on average), so that hardly more than the sample is shuffled, however large a language is. Should they be too
+    few, as where an id repeats, all rows of the language are ranked.
     """
     own = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text").filter(F.col("text").rlike(r"\p{L}"))
     own = own.withColumn("hash", F.xxhash64("doc_id"))
-    counts = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    near = F.col("hash") <= F.lit(-2.0 ** 63) + F.lit(2.0 ** 64) * F.least(F.lit(1.0), F.lit(4.0 * SAMPLE) / F.col("n"))
+    spark, ddl = docs.sparkSession, "lang string, cut double"
+    counts = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    cuts = {r.lang: -2.0 ** 63 + 2.0 ** 64 * min(1.0, 4.0 * SAMPLE / r.n) for r in counts}
+
+    def near():
+        # a row for each of at most LANGUAGES languages is broadcast
+        return own.join(F.broadcast(spark.createDataFrame(list(cuts.items()), ddl)), "lang").filter(F.col("hash") <= F.col("cut"))
+
+    large = {r.lang for r in counts if r.n > 4 * SAMPLE}
+    if large:
+        found = {r.lang: r.n for r in near().groupBy("lang").agg(F.count("*").alias("n")).collect()}
+        cuts.update({lang: 2.0 ** 63 for lang in large if found.get(lang, 0) < SAMPLE})
     order = Window.partitionBy("lang").orderBy("hash", F.xxhash64("text"))
-    own = own.join(F.broadcast(counts), "lang").filter(near).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE)
+    own = near().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE)
     schema = pa.schema([("lang", pa.string()), ("window", pa.binary())])
 
     def run(it):

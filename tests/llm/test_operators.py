@@ -394,6 +394,15 @@ def test_language_id_sample_is_bounded(spark, monkeypatch):
     assert len({r.lang for r in got}) == 3 and 30 <= len(got) <= 3 * 10 * langid.PER_DOC
 
 
+def test_language_id_learns_languages_of_few_ids(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 10)
+    last = spark.range(100).orderBy(F.xxhash64("id").desc()).first().id
+    rows = [(last, "aa", f"text number {i}") for i in range(300)] + [(i, "bb", f"other {i}") for i in range(1000, 1300)]
+    rows += [(None, "cc", f"no id {i}") for i in range(300)]
+    got = [r.lang for r in langid._sample(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()]
+    assert sorted(got) == ["aa"] * 10 + ["bb"] * 10 + ["cc"] * 10
+
+
 def test_language_id_odd_rows(documents, rows):
     got = langid.train_and_predict(documents).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)

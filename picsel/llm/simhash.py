@@ -189,9 +189,10 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     by all columns, in their order.
     """
     found = near_duplicates(docs.select("doc_id", "text"), width, radius)
-    best = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "group_fp").agg(F.count("*").alias("__picsel_n"))
-    ids = best.groupBy("doc_id").agg(F.sum("__picsel_n").alias("__picsel_rows"))
-    ids = stage(ids.select(F.col("doc_id").alias("__picsel_id"), "__picsel_rows"), "kept-ids")
+    # all rows of an id count, also those that represent no component
+    ids = found.groupBy(F.col("doc_id").alias("__picsel_id")).agg(
+        F.count("*").alias("__picsel_rows"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__picsel_kept"))
+    ids = stage(ids.filter("__picsel_kept").select("__picsel_id", "__picsel_rows"), "kept-ids")
     one = ids.filter("__picsel_rows = 1 and __picsel_id is not null").select("__picsel_id")
     kept = docs.join(one, docs["doc_id"] == one["__picsel_id"], "left_semi")
     odd = ids.filter("__picsel_rows > 1 or __picsel_id is null").select("__picsel_id")

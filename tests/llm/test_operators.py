@@ -89,6 +89,13 @@ def test_simhash_keeps_one_of_each_group(documents, rows):
     assert sorted(key(r.doc_id) for r in kept.collect()) == want
 
 
+def test_simhash_keeps_no_near_duplicate_of_a_repeated_id(spark):
+    text = lambda tag: " ".join(f"{tag}{k}" for k in range(80))
+    rows = [(3, text("a")), (5, text("a").upper()), (5, text("b")), (7, text("c"))]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in kept.collect()) == [rows[0], rows[2], rows[3]]
+
+
 def test_quality(documents, rows):
     got = quality.ledger(documents).collect()
     want = sorted(key((i, *brute.quality(t))) for i, t in rows)

@@ -281,6 +281,17 @@ def test_sharding(documents, rows):
     assert all(len(x) == 1 for x in where.values())
 
 
+def test_sharding_spreads_the_rows_of_one_key(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 7, raising=False)
+    rows = [(1, f"text {i}") for i in range(300)] + [(1, "copy")] * 100 + [(None, "copy")] * 3
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 40).collect()
+    assert len(got) == len(rows) and sum(r.doc_id is None for r in got) == 3
+    one = sorted((r.slot, r.text_crc32) for r in got if r.doc_id == 1)
+    assert len({s for s, _ in one}) == 400
+    # a bucket is in the order of crc32: one bucket would have no descent
+    assert sum(a[1] > b[1] for a, b in zip(one, one[1:])) > 40
+
+
 def test_jump_hash():
     rng = random.Random(4)
     keys = [rng.getrandbits(64) for _ in range(3000)]

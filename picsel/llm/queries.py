@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from picsel.llm import bpe, chat, decontam, langid, lm, quality, sharding, simhash, suffix_dedup, token_store
+from picsel.llm import block_names, bpe, chat, decontam, langid, lm, quality, sharding, simhash, suffix_dedup, token_store
 from picsel.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -73,9 +73,13 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_names.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_quality, op3_suffix_dedup, op4_decontamination, op5_sharding, op6_bpe, op7_kneser_ney,
-                                    op8_language_id, op9_token_files, op10_chat)}
+                                    op8_language_id, op9_token_files, op10_chat, op13_exact_dedup)}
 
 
 _ABUSIVE_LIST = ", ".join(f"'{w}'" for w in quality.ABUSIVE)
@@ -158,6 +162,13 @@ FROM c
 """
 
 
+_EXACT_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB has neither XXH64 with a seed, nor crc32, nor a tokenizer: the other queries are tested against brute force."""
-    return {"op2_quality": _QUALITY_SQL, "op3_suffix_dedup": _SUFFIX_SQL, "op10_chat": _CHAT_SQL}
+    return {"op2_quality": _QUALITY_SQL, "op3_suffix_dedup": _SUFFIX_SQL, "op10_chat": _CHAT_SQL, "op13_exact_dedup": _EXACT_SQL}

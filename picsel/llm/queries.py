@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from picsel.llm import block_names, bpe, chat, decontam, langid, lm, quality, sharding, simhash, suffix_dedup, token_store
-from picsel.llm.common import table
+from picsel.llm import block_names, bpe, chat, decontam, langid, lm, periodic_runs, prefix_trie, quality, sharding, simhash, suffix_dedup, token_store
+from picsel.llm.common import stage, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -73,13 +74,52 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+#: Turns that a rebuilt conversation may take over, and conversations that take them from the same one.
+SHARED, FAMILY = 5, 100
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The contract's conversations: the first h turns of the first conversation of the hundred, then their own after h; and their ids."""
+    h = F.crc32(F.col("conv_id").cast("string")) % (SHARED + 1)
+    convs = turns.select("conv_id").distinct()
+    heads = turns.where((F.col("place") <= SHARED) & (F.col("conv_id") % FAMILY == 0)).withColumnRenamed("conv_id", "base")
+    taken = convs.withColumns({"base": F.col("conv_id") - F.col("conv_id") % FAMILY, "h": h}).join(heads, "base").where("place <= h")
+    columns = ["conv_id", "place", "content", "chars"]
+    return taken.select(*columns).unionByName(turns.where(F.col("place") > h).select(*columns)), convs
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*rebuilt(stage(prefix_trie.turns(table(spark, sf_dir, "conversations")), "numbered-turns")))
+
+
+def repeated_tail(doc_id: int | None, n: int) -> tuple[int, int] | None:
+    """The contract's planted repetition: in a tenth of the documents the last words are some words over and over."""
+    h = 0 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    return a, 1 + (n - a) // (3 + g % 8)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), tail=repeated_tail)
+    # exact quotients; runs are in order of start and period, so of equals the first is taken
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_names.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_simhash, op2_quality, op3_suffix_dedup, op4_decontamination, op5_sharding, op6_bpe, op7_kneser_ney,
-                                    op8_language_id, op9_token_files, op10_chat, op13_exact_dedup)}
+                                    op8_language_id, op9_token_files, op10_chat, op11_prefix_trie, op12_periodic_runs, op13_exact_dedup)}
 
 
 _ABUSIVE_LIST = ", ".join(f"'{w}'" for w in quality.ABUSIVE)
@@ -162,6 +202,30 @@ FROM c
 """
 
 
+# crc32 bit by bit: each character and seven zeros, a step each
+_CRC = ("xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), "
+        "lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)), 4294967295)")
+_TRIE_SQL = f"""
+WITH c AS (
+  SELECT conv_id, {_CRC} % {SHARED + 1} AS h, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+r AS (SELECT c.conv_id, list_concat(coalesce(b.t[1:c.h], []), c.t[c.h + 1:]) AS t FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % {FAMILY}),
+p AS MATERIALIZED (
+  SELECT conv_id, d, to_json(t[1:d])::VARCHAR AS k, CASE WHEN d > 0 THEN to_json(t[1:d - 1])::VARCHAR END AS up,
+         CASE WHEN d > 0 THEN length(t[d].text) ELSE 0 END AS chars, d = len(t) AS whole
+  FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM r)),
+n AS MATERIALIZED (
+  SELECT k, any_value(d) AS depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE whole), '')) AS ends_sha256
+  FROM p GROUP BY k),
+kids AS (SELECT up AS k, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+below AS (
+  SELECT a.k, count(*) FILTER (WHERE kids.k IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.chars)::BIGINT AS saved_tokens
+  FROM n JOIN p a ON a.conv_id = n.conv_id AND a.d <= n.depth LEFT JOIN kids ON kids.k = n.k GROUP BY a.k)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n JOIN below USING (k) LEFT JOIN kids USING (k) LEFT JOIN n u ON u.k = n.up
+"""
+
 _EXACT_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -171,4 +235,4 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB has neither XXH64 with a seed, nor crc32, nor a tokenizer: the other queries are tested against brute force."""
-    return {"op2_quality": _QUALITY_SQL, "op3_suffix_dedup": _SUFFIX_SQL, "op10_chat": _CHAT_SQL, "op13_exact_dedup": _EXACT_SQL}
+    return {"op2_quality": _QUALITY_SQL, "op3_suffix_dedup": _SUFFIX_SQL, "op10_chat": _CHAT_SQL, "op11_prefix_trie": _TRIE_SQL, "op13_exact_dedup": _EXACT_SQL}

@@ -29,7 +29,7 @@ BLOCK = 1024
 #: A block or pair is named beforehand from this many rows on, and if it has more than one in ``MOST`` of all rows.
 HEAVY, MOST = 256, 10_000
 #: Rows of a bucket, about.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 
 
 def _cut(text: Column, size: int) -> Column:

@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from picsel.operators import metrics as E  # noqa: E402
 from picsel.operators import publish as D  # noqa: E402
+from picsel.operators import serving as V  # noqa: E402
 from picsel.plans.recommend import RecommendationRun, materialize  # noqa: E402
 from picsel.session import build_session, stage_root  # noqa: E402
 from picsel.sources.standins import FULL_DATE, MONTH, STANDIN_WIKIS  # noqa: E402
@@ -59,7 +60,7 @@ def run_writers(spark, run, prod) -> dict[str, float]:
         "publish_production": _timed(lambda: D.publish_production(prod, f"{root}/production")),
         "publish_search": _timed(lambda: D.publish_search(D.search_table(prod, FULL_DATE, MONTH), f"{root}/search")),
         "write_exports": _timed(lambda: D.write_exports(D.export_rows(prod, MONTH), f"{root}/exports")),
-        "write_serving": _timed(lambda: D.write_serving(D.serving_table(D.export_rows(prod, MONTH)), f"{root}/serving")),
+        "write_serving": _timed(lambda: V.write_serving(D.serving_table(D.export_rows(prod, MONTH)), f"{root}/serving")),
     }
 
 

@@ -57,8 +57,8 @@ RATING_WIKIS_BASE = 2.0
 RATING_CATEGORY = 3.0
 TOP_K = 3
 
-# What a note holds besides its comma-separated wiki list: all up to the list (or all, without one), and white space.
-BEFORE_FOUND_ON_REGEX = r"(?s)^(?:(?!Wikis:\s).)*(?:Wikis:\s+)?|\s+"
+# Where a note lists wikis: up to the end of the note; a list that goes on after a line break does not match.
+FOUND_ON_REGEX = r"Wikis:\s+(.*)$"
 
 # Text direction of wikis written right to left (all others are left to right).
 RTL_WIKIS = ("arwiki", "fawiki", "hewiki", "arzwiki")

@@ -84,9 +84,9 @@ def instance_of_id(instance_of="instance_of") -> Column:
 
 
 def found_on(note="note") -> Column:
-    """Wikis listed in a note; a note without the list gives [''] (size 1), NULL stays NULL."""
-    # one pass removes the words before the list and all white space
-    return F.split(F.regexp_replace(_c(note), K.BEFORE_FOUND_ON_REGEX, ""), ",")
+    """Wikis listed in a note; a note without a list, or with a line break within it, gives [''] (size 1), NULL stays NULL."""
+    listed = F.regexp_extract(_c(note), K.FOUND_ON_REGEX, 1)
+    return F.split(F.translate(listed, " \t\n\u000b\f\r", ""), ",")
 
 
 def is_article_page(instance_id="instance_of") -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from picsel.constants import TOP_K
+from picsel.session import materialize
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -46,6 +47,31 @@ def median(df: DataFrame, value: str) -> DataFrame:
     return h.agg(F.percentile(F.col("v"), F.lit(0.5), F.col("f")).alias("median"))
 
 
+#: Size k of a quantile sketch, and a rank error it keeps with 99 % probability (2.296 / k ** 0.9723 = 0.0035 by DataSketches' estimate).
+SKETCH_SIZE, SKETCH_ERROR = 800, 0.004
+
+
+def quantile_sketches(df: DataFrame, value: str, by: tuple[str, ...]) -> DataFrame:
+    """E17 (approximate), stored part: a mergeable quantile sketch of a bigint column for each group of ``by`` (a few KB each)."""
+    return df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.kll_sketch_agg_bigint(F.col(value).cast("bigint"), SKETCH_SIZE).alias("sketch"))
+
+
+def merged_quantile(sketches: DataFrame, q: float, by: tuple[str, ...] = ()) -> DataFrame:
+    """E17 (approximate): the ``q`` quantile over all rows of the merged sketches, per group of ``by``; no data is read again."""
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    return merged.where(F.kll_sketch_get_n_bigint("sketch") > 0).select(*by, F.kll_sketch_get_quantile_bigint("sketch", F.lit(q)).alias("approx"), F.lit(q).alias("q"))
+
+
+def checked_quantile(approx: DataFrame, df: DataFrame, value: str, error: float) -> DataFrame:
+    """The approximate quantile with its exact rank interval over ``df`` (share of smaller rows, share of rows up to it) and
+    whether the interval comes within ``error`` of the wanted rank. ``approx`` is one row."""
+    h = _histogram(df.where(F.col(value).isNotNull()), value).join(F.broadcast(approx), F.lit(True))
+    weigh = lambda cond: F.sum(F.when(cond, F.col("f")).otherwise(0))
+    out = h.groupBy("approx", "q").agg(weigh(F.col("v") < F.col("approx")).alias("less"), weigh(F.col("v") <= F.col("approx")).alias("to"), F.sum("f").alias("n"))
+    below, to = F.col("less") / F.col("n"), F.col("to") / F.col("n")
+    return out.select("approx", below.alias("rank_below"), to.alias("rank_to"), "n", ((below <= F.col("q") + error) & (to >= F.col("q") - error)).alias("within_bound"))
+
+
 def approx_median(df: DataFrame, value: str, relative_error: float = 0.25) -> DataFrame:
     """E17 as written originally: an approximate median with the given relative rank error."""
     accuracy = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 10000
@@ -168,17 +194,7 @@ def column_frequencies(df: DataFrame) -> DataFrame:
 
     Values are kept apart exactly: NULL stays NULL, an array is its JSON text, a double its shortest exact text.
     """
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        text = F.to_json(c) if f.dataType.typeName() in ("array", "map", "struct") else c.cast("string")
-        cols.append(F.struct(F.lit(f.name).alias("column"), text.alias("value")))
-    return (
-        df.select(F.explode(F.array(*cols)).alias("cv"))
-        .select("cv.column", "cv.value")
-        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-        .orderBy("column", F.desc("count"), "value")
-    )
+    return _long(df, df.columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")).orderBy("column", F.desc("count"), "value")
 
 
 CONFIDENCE_BY_SOURCE = (("wikidata", "high"), ("wikipedia", "medium"), ("commons", "low"))
@@ -206,3 +222,69 @@ def no_recommendation_check(prod: DataFrame) -> DataFrame:
         F.count(F.when(F.col("image_id").isNull(), 1)).alias("n_no_recommendation"),
         F.count(F.when(no_src & F.col("confidence_rating").isNotNull(), 1)).alias("n_bad_confidence"),
     )
+
+
+# --------------------------------------------------------------------------------------------------
+# E20 for near-unique columns: the most frequent values by a sketch and an exact second pass
+# --------------------------------------------------------------------------------------------------
+
+#: Values of a column that a sketch tracks. It finds every value with more than ``2 * 3.5 / MAP`` of the rows, where ``MAP`` is the
+#: power of two from ``TRACKED / 0.75`` on (DataSketches' a-priori error, once for the estimate and once for what it lists).
+TRACKED = 3072
+MISSED = 2 * 3.5 / 4096
+
+
+def _as_text(df: DataFrame) -> dict[str, F.Column]:
+    """Each column as exact text: an array is its JSON text, a double its shortest exact text, NULL stays NULL."""
+    nested = ("array", "map", "struct")
+    return {f.name: F.to_json(F.col(f"`{f.name}`")) if f.dataType.typeName() in nested else F.col(f"`{f.name}`").cast("string") for f in df.schema.fields}
+
+
+def value_sketches(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """A mergeable sketch of the frequent values of each column (columns named like those of ``df``) and the rows ``_n``, per group of ``by``.
+
+    A value carries a letter in front, so that NULL is counted like any other.
+    """
+    marked = [F.coalesce(F.concat(F.lit("v"), c), F.lit("n")).alias(n) for n, c in _as_text(df).items()]
+    rows = df.select(*[F.col(b).alias(f"_by_{b}") for b in by], *marked)
+    sketches = [F.call_function("approx_top_k_accumulate", F.col(f"`{n}`"), F.lit(TRACKED)).alias(n) for n in df.columns]
+    return rows.groupBy(*[f"_by_{b}" for b in by]).agg(*sketches, F.count(F.lit(1)).alias("_n"))
+
+
+def likely_values(sketches: DataFrame, columns: list[str]) -> DataFrame:
+    """``column, value`` of the values that the merged sketches list: at most ``TRACKED`` a column."""
+    merged = sketches.agg(*[F.call_function("approx_top_k_combine", F.col(f"`{n}`"), F.lit(TRACKED)).alias(n) for n in columns])
+    listed = F.array(*[F.struct(F.lit(n).alias("column"), F.transform(F.call_function("approx_top_k_estimate", F.col(f"`{n}`"), F.lit(TRACKED)), lambda x: x["item"]).alias("items"))
+                       for n in columns])
+    rows = merged.select(F.explode(listed).alias("c")).select("c.column", F.explode("c.items").alias("item"))
+    return rows.select("column", F.when(F.col("item") != "n", F.substring("item", 2, 1 << 30)).alias("value"))
+
+
+def _long(df: DataFrame, columns: list[str]) -> DataFrame:
+    text = _as_text(df)
+    return df.select(F.explode(F.array(*[F.struct(F.lit(n).alias("column"), text[n].alias("value")) for n in columns])).alias("c")).select("c.*")
+
+
+def top_values(df: DataFrame, k: int = 10, by: tuple[str, ...] = ()) -> DataFrame:
+    """E20 as a report: the ``k`` most frequent values of each column with exact counts (ties by value, NULL first).
+
+    A sketch pass names the likely values, a second pass counts just those, without a shuffle of the data. Where the k-th count is
+    above what the sketch can have missed, or the sketch holds all values of the column, that is the answer. The other columns, near-unique ones, are counted whole
+    by a group-by; their rows are never sorted. Sketches are kept per group of ``by`` and merged.
+    """
+    sketches = materialize(value_sketches(df, by), name="value-sketches")
+    likely = materialize(likely_values(sketches, df.columns), name="likely-values")  # TRACKED rows a column at most
+    same = (F.col("l.column") == F.col("r.column")) & F.col("l.value").eqNullSafe(F.col("r.value"))
+    counted = _long(df, df.columns).alias("l").join(F.broadcast(likely.alias("r")), same, "left_semi").groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
+    counted = materialize(counted, name="counted-values")
+    rows = sketches.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
+    order = Window.partitionBy("column").orderBy(F.desc("count"), F.col("value").asc_nulls_first())
+    first = lambda c: c.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    kth = F.max(F.when(F.col("place") == k, F.col("count"))).alias("kth")
+    checks = counted.withColumn("place", F.row_number().over(order)).groupBy("column").agg(F.sum("count").alias("covered"), kth)
+    proven = [r["column"] for r in checks.collect() if r["covered"] == rows or (r["kth"] or 0) > MISSED * rows]  # a row a column
+    out = first(counted.where(F.col("column").isin(proven)))
+    rest = [c for c in df.columns if c not in proven]
+    if rest and rows:
+        out = out.unionByName(first(_long(df, rest).groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))))
+    return out

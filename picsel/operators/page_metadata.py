@@ -71,18 +71,27 @@ def _extract(html: pd.Series, language: pd.Series, direction: pd.Series) -> pd.D
     return pd.DataFrame(rows, columns=["description", "caption", "blocks"])
 
 
-#: The JSON of a structured-data block: entries whose text/plain maps a language to {property: value}.
-BLOCK_DDL = "map<string, struct<`text/plain`: map<string, map<string, string>>>>"
+#: A JSON object opened by one level: each value stays the JSON text it was, whatever its shape, and the order stays the text's.
+#: (VARIANT would take any shape too, but it sorts the keys of an object, and the first entry is told by its place.)
+OBJECT_DDL = "map<string, string>"
 PROP_DEPICTS, PROP_LICENCE = "P180", "P275"
 
 
+def _opened(json_text) -> F.Column:
+    return F.from_json(json_text, OBJECT_DDL)
+
+
 def block_values(blocks, language, prop: str) -> F.Column:
-    """the values of ``prop`` in the given language; the first entry of each block is not one of them. Malformed blocks
-    and entries without the language give none."""
+    """the values of ``prop`` in the given language; the first entry of each block, of whatever shape, is not one of them.
+
+    An entry is ``{"text/plain": {language: {property: value}}}`` and its first property counts. Malformed blocks, entries of
+    another shape and entries without the language give none; the entries beside them count.
+    """
     own = F.filter(blocks, lambda b: b["property"].isin(PROP_DEPICTS, PROP_LICENCE))
     entries = F.flatten(F.transform(own, lambda b: F.coalesce(
-        F.slice(F.map_values(F.from_json(b["value"], BLOCK_DDL)), F.lit(2), F.lit(1 << 30)), F.array())))
-    first = F.transform(entries, lambda e: F.get(F.map_entries(F.try_element_at(e["text/plain"], language)), F.lit(0)))
+        F.slice(F.map_values(_opened(b["value"])), F.lit(2), F.lit(1 << 30)), F.array())))
+    plain = F.transform(entries, lambda e: _opened(F.try_element_at(_opened(e), F.lit("text/plain"))))
+    first = F.transform(plain, lambda t: F.get(F.map_entries(_opened(F.try_element_at(t, language))), F.lit(0)))
     return F.transform(F.filter(first, lambda x: x["key"] == prop), lambda x: x["value"])
 
 

@@ -56,11 +56,23 @@ def icon_images(imagelinks: DataFrame, thresholds: DataFrame) -> DataFrame:
     return counts.join(th, "wiki_db").where(F.col("n_links") > F.col("threshold"))
 
 
-def pages_with_images(imagelinks: DataFrame, icons: DataFrame) -> DataFrame:
-    """Distinct pages having at least one non-icon image link."""
+#: Icons with more than one in so many of all icon links are broadcast; there are at most this many.
+HEAVY_ICONS = 10_000
+
+
+def pages_with_images(imagelinks: DataFrame, icons: DataFrame, heavy_icons: int = HEAVY_ICONS) -> DataFrame:
+    """Distinct pages having at least one non-icon image link. ``icons`` has B3's counts.
+
+    The links of the icons with most links are dropped where they lie, by a broadcast of those icons, before any other link is
+    shuffled by its image: no task gets the links of such an icon, whether or not AQE would have split it.
+    """
+    share = icons.agg(F.sum("n_links") / F.lit(float(heavy_icons))).scalar()
+    heavy = icons.where(F.col("n_links") > share).select("wiki_db", "il_to")
+    light = icons.where(F.col("n_links") <= share).select("wiki_db", "il_to")
     return (
-        imagelinks.where(F.col("il_from_namespace") == 0)
-        .join(icons.select("wiki_db", "il_to"), ["wiki_db", "il_to"], "left_anti")
+        imagelinks.where(F.col("il_from_namespace") == 0).select("wiki_db", "il_to", "il_from")
+        .join(F.broadcast(heavy), ["wiki_db", "il_to"], "left_anti")
+        .join(light, ["wiki_db", "il_to"], "left_anti")
         .select("wiki_db", F.col("il_from").alias("page_id"))
         .distinct()
     )

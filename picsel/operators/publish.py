@@ -188,15 +188,6 @@ def write_exports(exports: DataFrame, path: str, rows_per_file: int = ROWS_PER_F
     _dynamic(out.write.partitionBy("wiki")).options(sep="\t", header="true", emptyValue="", quote="\u0000", nullValue="\\N").csv(path)
 
 
-def write_serving(serving: DataFrame, path: str) -> None:
-    """D16 (write half): range-partitioned by (wiki, page_id) and sorted, so parquet min/max statistics
-    let a lookup by (wiki, page_id) skip all other row groups."""
-    (
-        serving.repartitionByRange("wiki", "page_id").sortWithinPartitions("wiki", "page_id")
-        .write.mode("overwrite").parquet(path)
-    )
-
-
 def register_tables(spark: SparkSession, raw_path: str, prod_path: str, search_path: str,
                     database: str | None = None) -> None:
     """External partitioned parquet tables over the written folders, partitions discovered."""

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from picsel import constants as K
 from picsel.operators import metrics as E
 from picsel.operators import publish as D
+from picsel.operators import serving as V
 from picsel.plans.recommend import RecommendationRun
 from picsel.session import ship_package
 from picsel.sources.readers import read_raw_parquet
@@ -65,7 +66,7 @@ def run_job(spark: SparkSession, run: RecommendationRun, out: str, date: str, da
         D.write_exports(D.export_rows(prod, month, K.TARGET_WIKIS, android=True), f"{out}/exports_android/{month}"),
     ))
     exports = D.export_rows(prod, month, K.TARGET_WIKIS)
-    stage("serving", lambda: D.write_serving(D.serving_table(exports), f"{out}/serving/{month}"))
+    stage("serving", lambda: V.write_serving(D.serving_table(exports), f"{out}/serving/{month}"))
     if database:
         stage("register", lambda: D.register_tables(spark, f"{out}/imagerec", f"{out}/imagerec_prod", f"{out}/search_imagerec", database))
     reports = {

@@ -263,7 +263,7 @@ _SOURCE = ("CASE WHEN starts_with(t.note, 'image was in the Wikidata item') THEN
            "WHEN starts_with(t.note, 'image was found in the following Wikis:') THEN 'wikipedia' "
            "WHEN starts_with(t.note, 'image was found in the Commons category') THEN 'commons' END")
 _FOUND_ON = ("CASE WHEN t.note IS NULL THEN NULL ELSE string_split(regexp_replace("
-             "regexp_extract(t.note, 'Wikis:\\s+(.*)$', 1), '\\s+', '', 'g'), ',') END")
+             "regexp_extract(t.note, 'Wikis:\\s+([^\\r\\n]*)[\\r\\n]?$', 1), '\\s+', '', 'g'), ',') END")
 _INSTANCE_ID = ("CASE WHEN p.instanceof IS NULL THEN NULL WHEN json_valid(p.instanceof) "
                 "THEN json_extract_string(p.instanceof, '$.id') END")
 
@@ -289,7 +289,8 @@ raw AS (
 # raw_v from documents: the same rules as StandIns.raw_from_documents, parsed back from the JSON text.
 _DOC_ENTRIES = {
     1: ("1", K.NOTE_WIKIDATA),
-    2: ("2.1", "image was found in the following Wikis: ruwiki, itwiki"),
+    2: ("2.1", "image was found in the following ' || CASE doc_id % 4 WHEN 1 THEN 'Wikis: ruwiki,\\n itwiki' WHEN 2 THEN 'Wikis: ruwiki, itwiki\\n' "
+               "WHEN 3 THEN 'Wikis:\\n ruwiki, itwiki' ELSE 'Wikis: ruwiki, itwiki' END || '"),
     3: ("3", K.NOTE_COMMONS),
 }
 
@@ -318,7 +319,7 @@ raw_docs AS (
 docs_exploded AS (
   SELECT r.wiki_db, r.page_id, r.page_title, r.instance_of, e.image, e.rating, e.note
   FROM raw_docs r,
-       unnest(CAST(CASE WHEN json_valid(r.top_candidates) THEN r.top_candidates END
+       unnest(CAST(CAST(CASE WHEN json_valid(r.top_candidates) THEN r.top_candidates END AS JSON)
                    AS STRUCT(image VARCHAR, note VARCHAR, rating DOUBLE)[])) AS u(e)
   WHERE r.top_candidates IS NOT NULL
 ),

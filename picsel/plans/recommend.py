@@ -124,7 +124,8 @@ class RecommendationRun:
     def illustrated(self) -> DataFrame:
         t = self.tables
         links, page = self._local(t.imagelinks), self._local(t.page)
-        icons = P.icon_images(links, P.icon_thresholds(P.wiki_size(page)))
+        # written once: the links' heavy and light icons and their total are read from it
+        icons = materialize(P.icon_images(links, P.icon_thresholds(P.wiki_size(page))), self.checkpoints, "icons")
         return P.illustrated_pages(P.pages_with_images(links, icons),
                                    P.pages_with_lead_image(self._local(t.page_props)))
 

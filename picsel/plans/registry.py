@@ -16,16 +16,21 @@ from pyspark.sql import types as T
 
 from picsel import constants as K
 from picsel.functions import columns as C
+from picsel.operators import manifest as Mf
+from picsel.operators import metric_state as Ms
 from picsel.operators import metrics as E
 from picsel.operators import page_metadata as M
 from picsel.operators import pool as P
 from picsel.operators import publish as D
+from picsel.operators import rejects as R
 from picsel.operators import selection as S
+from picsel.operators import serving as V
 from picsel.plans import oracle as O
 from picsel.plans.recommend import RecommendationRun
 from picsel.schemas import TOP_CANDIDATES_DDL
 from picsel.session import application_id, materialize, stage_root
-from picsel.sources.readers import read_partitioned_tsv, read_raw_parquet, snapshot_scan, target_wikis
+from picsel.sources.readers import (read_partitioned_tsv, read_raw_parquet, read_snapshot_table, scan_for_wikis, snapshot_scan, target_wikis,
+                                    wiki_table, write_snapshot_table)
 from picsel.sources.standins import MONTH, StandIns
 
 _RUNS: dict[tuple[str, str], RecommendationRun] = {}
@@ -84,6 +89,14 @@ def _q_snapshot_scan(spark, sf):
         "wiki_db", "page_id", "page_title", "page_namespace", "page_is_redirect")
 
 
+def _q_snapshot_scan_pruned(spark, sf):
+    """Two snapshots of the page table written by partition; one is read, for the target wikis that are written left to right."""
+    path, page = _out(spark, "page"), StandIns(spark, sf).page
+    write_snapshot_table(page.unionByName(page.withColumn("snapshot", F.lit("2020-12"))), path)
+    ltr = wiki_table(spark).where(F.col("direction") == "ltr")
+    return scan_for_wikis(read_snapshot_table(spark, path, page.schema), MONTH, ltr)
+
+
 def _q_month_of(spark, sf):
     dates = StandIns(spark, sf).table("orders").select(F.col("o_orderdate").cast("date").cast("string").alias("snapshot")).distinct()
     return dates.select("snapshot", C.month_of("snapshot").alias("month"))
@@ -371,13 +384,10 @@ def _q_found_on_median(spark, sf):
 
 
 def _q_found_on_approx_median(spark, sf):
-    """Whether the approximate median's rank is within its error bound."""
-    sizes, error = E.found_on_sizes(_p(spark, sf), MONTH), 0.25
-    approx = E.approx_median(sizes, "num_languages", error)
-    rank = lambda cond: F.avg(F.when(cond, 1.0).otherwise(0.0))
-    value, mid = F.col("num_languages"), F.col("approx_median")
-    return sizes.join(F.broadcast(approx), F.lit(True)).agg(
-        ((rank(value < mid) <= 0.5 + error) & (rank(value <= mid) >= 0.5 - error)).alias("within_bound"))
+    """The approximate median by sketches kept per wiki and snapshot, its exact rank interval, and whether that is within the bound."""
+    sizes = E.found_on_sizes(_p(spark, sf), MONTH)
+    parts = materialize(E.quantile_sketches(sizes.withColumn("snapshot", F.lit(MONTH)), "num_languages", ("wiki", "snapshot")), name="sketches")
+    return E.checked_quantile(E.merged_quantile(parts, 0.5), sizes, "num_languages", E.SKETCH_ERROR)
 
 
 def _q_box_stats_records(spark, sf):
@@ -400,6 +410,11 @@ def _q_column_frequencies(spark, sf):
     return E.column_frequencies(_p(spark, sf))
 
 
+def _q_top_values(spark, sf):
+    """The ten most frequent values of each production column, by sketches kept per snapshot."""
+    return E.top_values(_p(spark, sf), 10, ("snapshot",))
+
+
 def _q_confidence_source_matrix(spark, sf):
     return E.confidence_source_matrix(_p(spark, sf))
 
@@ -453,20 +468,22 @@ def _out(spark, name):
     return f"{stage_root(spark)}/published-{name}-{uuid.uuid4().hex}"
 
 
+def _listed_candidates(raw):
+    """The rows of a raw table with one row for each candidate in their text, in its order; one without for the others."""
+    rows = raw.select(*[c for c in raw.columns if c != "top_candidates"], F.posexplode_outer(F.from_json("top_candidates", TOP_CANDIDATES_DDL)).alias("place", "c"))
+    return rows.select(*rows.columns[:-1], "c.image", "c.rating", "c.note")
+
+
 def _q_published_candidates(spark, sf):
     path, raw = _out(spark, "candidates"), run_for(spark, sf).raw
     D.write_candidates(raw, path)
-    back = read_partitioned_tsv(spark, path, MONTH)
-    listed = F.from_json("top_candidates", TOP_CANDIDATES_DDL)
-    return back.select(*[c for c in back.columns if c != "top_candidates"], F.coalesce(F.size(F.coalesce(listed, F.array())), F.lit(0)).alias("n_candidates"))
+    return _listed_candidates(read_partitioned_tsv(spark, path, MONTH))
 
 
 def _q_published_raw(spark, sf):
     path, raw = _out(spark, "raw"), run_for(spark, sf).raw
     D.publish_raw(raw, path)
-    back = read_raw_parquet(spark, path)
-    listed = F.from_json("top_candidates", TOP_CANDIDATES_DDL)
-    return back.select(*[c for c in back.columns if c != "top_candidates"], F.size(F.coalesce(listed, F.array())).alias("n_candidates"))
+    return _listed_candidates(read_raw_parquet(spark, path))
 
 
 def _q_published_production(spark, sf):
@@ -501,10 +518,53 @@ def _q_published_android(spark, sf):
 
 def _q_published_serving(spark, sf):
     path, serving = _out(spark, "serving"), D.serving_table(D.export_rows(_p(spark, sf), MONTH))
-    D.write_serving(serving, path)
+    V.write_serving(serving, path)
     return spark.read.schema(serving.schema).parquet(path)
 
 
+def _q_published_manifest(spark, sf):
+    """The production table published whole, then one wiki again with its images only; read through the manifest."""
+    path, prod = _out(spark, "committed"), _p(spark, sf)
+    title = [F.col("page_title").desc()]
+    Mf.publish(prod, path, ["wiki", "snapshot"], ["page_id"], title)
+    Mf.publish(prod.where((F.col("wiki") == "enwiki") & F.col("image_id").isNotNull()), path, ["wiki", "snapshot"], ["page_id"], title)
+    return Mf.read(spark, path, prod.schema)
+
+
+def _q_candidate_rejects(spark, sf):
+    """Every line of candidate files with good and bad lines: accepted, or rejected with a reason."""
+    path = _out(spark, "lines")
+    StandIns(spark, sf).candidate_lines.write.partitionBy("wiki_db").text(path)
+    rows = R.read_judged_tsv(spark, path, MONTH, header=False)
+    columns = ["wiki_db", "page_id", "page_title", "top_candidates"]
+    good = R.accepted(rows).select(*columns, F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(R.rejected(rows).select(*columns, "line", "reason"))
+
+
+def _q_metric_state(spark, sf):
+    """Reports of two snapshots from the state kept for each; the older one holds the rows that have an image."""
+    path, table = _out(spark, "state"), _out(spark, "production")
+    prod = _p(spark, sf)
+    D.publish_production(prod.unionByName(prod.where(F.col("image_id").isNotNull()).withColumn("snapshot", F.lit("2020-12"))), table)
+    back = spark.read.schema(prod.schema).parquet(table)
+    for snapshot in ("2020-12", MONTH):
+        Ms.update(back, path, snapshot)
+    report = lambda name, df, key, n: df.select(F.lit(name).alias("report"), "snapshot", F.col("wiki") if "wiki" in df.columns else F.lit(None).cast("string").alias("wiki"),
+                                                F.col(key).cast("string").alias("key") if key else F.lit(None).cast("string").alias("key"), F.col(n).alias("n"))
+    reports = [report("records", Ms.snapshot_counts(spark, path), None, "n"), report("histogram", Ms.suggestion_histogram(spark, path), "n_images", "n_pages"),
+               report("confidence", Ms.suggestions_by_confidence(spark, path), "confidence_rating", "n_suggestions"),
+               report("found_on", Ms.found_on_histogram(spark, path), "num_languages", "n")]
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _q_serving_lookup(spark, sf):
+    """Every 50th page, looked up in the written serving table."""
+    path, page = _out(spark, "serving"), run_for(spark, sf).tables.page
+    V.write_serving(D.serving_table(D.export_rows(_p(spark, sf), MONTH)), path)
+    keys = page.where(F.col("page_id") % 50 == 0).select(F.col("wiki_db").alias("wiki"), "page_id")
+    return V.lookup(V.read_serving(spark, path), keys)
+
+
 def _q_registered_tables(spark, sf):
     run, prod = run_for(spark, sf), _p(spark, sf)
     raw, production, search, db = _out(spark, "raw"), _out(spark, "production"), _out(spark, "search"), f"picsel_{uuid.uuid4().hex}"
@@ -513,13 +573,18 @@ def _q_registered_tables(spark, sf):
     D.publish_search(D.search_table(prod, O.SEARCH_DATE, MONTH), search)
     spark.sql(f"CREATE DATABASE {db} LOCATION '{_out(spark, 'database')}'")
     D.register_tables(spark, raw, production, search, database=db)
-    counts = [spark.table(f"{db}.{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n"))
-              for t in ("imagerec", "imagerec_prod", "search_imagerec")]
-    return reduce(DataFrame.unionByName, counts)
+    columns = {"imagerec": ("wiki_db", "page_id", "page_title", "instance_of"), "imagerec_prod": ("wiki", "page_id", "page_title", "image_id"),
+               "search_imagerec": ("wikiid", "page_id", F.lit(None), "recommendation_type")}
+    rows = [spark.table(f"{db}.{t}").select(F.lit(t), *c).toDF("table_name", "wiki", "page_id", "page_title", "value").withColumn("page_id", F.col("page_id").cast("string"))
+            for t, c in columns.items()]
+    out = materialize(reduce(DataFrame.unionByName, rows), name="registered")
+    spark.sql(f"DROP DATABASE {db} CASCADE")  # the tables are external: their files stay
+    return out
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_scan": _q_snapshot_scan,
+    "snapshot_scan_pruned": _q_snapshot_scan_pruned,
     "month_of": _q_month_of,
     "label_language": _q_label_language,
     "target_wikis": _q_target_wikis,
@@ -586,6 +651,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "box_stats_found_on": _q_box_stats_found_on,
     "snapshot_counts": _q_snapshot_counts,
     "column_frequencies": _q_column_frequencies,
+    "top_values": _q_top_values,
     "confidence_source_matrix": _q_confidence_source_matrix,
     "confidence_violations": _q_confidence_violations,
     "no_recommendation_check": _q_no_recommendation_check,
@@ -604,6 +670,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_android": _q_published_android,
     "published_serving": _q_published_serving,
     "registered_tables": _q_registered_tables,
+    "serving_lookup": _q_serving_lookup,
+    "published_manifest": _q_published_manifest,
+    "candidate_rejects": _q_candidate_rejects,
+    "metric_state": _q_metric_state,
 }
 
 

@@ -7,6 +7,10 @@ from pyspark.sql import types as T
 
 _S = T.StringType()
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES (field names and types of the tables that are exchanged)
+# ---------------------------------------------------------------------------
+
 CSV_FIELDS = ("pandas_idx", "item_id", "page_id", "page_title", "top_candidates", "instance_of")
 RAW_FIELDS = CSV_FIELDS + ("wiki_db", "snapshot")
 
@@ -16,48 +20,14 @@ RAW_SCHEMA = T.StructType([T.StructField(n, _S, True) for n in RAW_FIELDS])
 TOP_CANDIDATES_DDL = "array<struct<image:string,note:string,rating:double>>"
 INSTANCE_OF_DDL = "struct<`entity-type`:string,`numeric-id`:bigint,id:string>"
 
-TOP_CANDIDATES_TYPE = T.ArrayType(
-    T.StructType([
-        T.StructField("image", _S, True),
-        T.StructField("note", _S, True),
-        T.StructField("rating", T.DoubleType(), True),
-    ])
-)
-
 PRODUCTION_COLUMNS = (
     "wiki", "page_id", "page_title", "image_id", "confidence_rating", "source",
     "instance_of", "found_on", "is_article_page",
 )
 
-PROD_TABLE_SCHEMA = T.StructType([
-    T.StructField("page_id", _S, True),
-    T.StructField("page_title", _S, True),
-    T.StructField("image_id", _S, True),
-    T.StructField("confidence_rating", _S, True),
-    T.StructField("source", _S, True),
-    T.StructField("instance_of", _S, True),
-    T.StructField("is_article_page", T.BooleanType(), True),
-    T.StructField("dataset_id", _S, True),
-    T.StructField("insertion_ts", T.DoubleType(), True),
-    T.StructField("found_on", T.ArrayType(_S), True),
-    T.StructField("wiki", _S, True),
-    T.StructField("snapshot", _S, True),
-])
-
-SEARCH_TABLE_SCHEMA = T.StructType([
-    T.StructField("wikiid", _S, True),
-    T.StructField("page_id", T.IntegerType(), True),
-    T.StructField("page_namespace", T.IntegerType(), True),
-    T.StructField("recommendation_type", _S, True),
-    T.StructField("year", T.IntegerType(), True),
-    T.StructField("month", T.IntegerType(), True),
-    T.StructField("day", T.IntegerType(), True),
-])
-
-EXPORT_COLUMNS = (
-    "page_id", "page_title", "image_id", "confidence_rating", "source", "dataset_id",
-    "insertion_ts", "wiki", "found_on",
-)
+# ---------------------------------------------------------------------------
+# End of fixed values
+# ---------------------------------------------------------------------------
 
 
 def require_schema(df, schema: T.StructType) -> None:

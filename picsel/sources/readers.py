@@ -7,9 +7,12 @@ from typing import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from picsel.constants import TARGET_WIKIS
+from picsel.functions.columns import label_language, wiki_direction
+from picsel.operators.publish import spread
 from picsel.schemas import CSV_SCHEMA, RAW_SCHEMA
-from pyspark.sql import types as T
 
 
 def snapshot_scan(df: DataFrame, snapshot: str, wikis: Iterable[str] | None = None) -> DataFrame:
@@ -28,6 +31,35 @@ def target_wikis(df: DataFrame, wikis: Iterable[str] = TARGET_WIKIS, col: str =
     return df.where(F.col(col).isin(*list(wikis)))
 
 
+def write_snapshot_table(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+    """A source table as Parquet partitioned by (snapshot, wiki_db), as A1 expects it; a large partition gets several files."""
+    others = [c for c in df.columns if c not in ("snapshot", "wiki_db")]
+    out = spread(df, ["snapshot", "wiki_db"], others, rows_per_file)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot", "wiki_db").parquet(path)
+
+
+def read_snapshot_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table written by :func:`write_snapshot_table`; the schema keeps partition values text."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def scan_for_wikis(table: DataFrame, snapshot: str, wikis: DataFrame) -> DataFrame:
+    """A1 with A5: one snapshot, and of it the wikis of a (filtered) wiki table.
+
+    The wiki table has one row per wiki and is broadcast; Spark prunes the partitions of ``table`` at runtime by that
+    broadcast, so only the files of the wanted wikis are opened, whichever rows the wiki table turns out to hold.
+    """
+    # a comparison: only a side that is filtered is used to prune partitions at runtime
+    wanted = wikis.where(F.col("wiki_db") > "").select("wiki_db").distinct()
+    return snapshot_scan(table, snapshot).join(F.broadcast(wanted), "wiki_db", "left_semi")
+
+
+def wiki_table(spark: SparkSession, wikis: Iterable[str] = TARGET_WIKIS) -> DataFrame:
+    """The configured wikis as a dimension table: wiki_db, language, direction."""
+    rows = spark.createDataFrame([(w,) for w in wikis], "wiki_db string")
+    return rows.select("wiki_db", label_language("wiki_db").alias("language"), wiki_direction("wiki_db").alias("direction"))
+
+
 def read_candidates_tsv(spark: SparkSession, path: str, wiki: str, snapshot: str,
                         header: bool = True) -> DataFrame:
     """A4: the candidates TSV with its fixed all-string schema, plus wiki_db / snapshot literals.

@@ -193,7 +193,7 @@ class StandIns:
         p = self.table("part").select(F.col("p_partkey").alias("k"), F.explode(langs).alias("l")).select("k", "l.lang", "l.dir")
         k = _s(F.col("k"))
         div = lambda cls, body, more="": F.concat(F.lit('<div class="'), cls, F.lit(f'"{more}>'), body, F.lit("</div>"))
-        own = F.concat(F.lit("description mw-content-"), "dir", F.lit(" "), "lang")
+        own = F.concat(F.lit("description"), F.when(F.col("k") % 8 == 1, "  ").otherwise(" "), F.lit("mw-content-"), "dir", F.lit(" "), "lang")
         m = F.col("k") % 4
         description = (
             F.when(m == 1, div(own, F.concat(F.lit(" About "), k, F.lit(" in "), "lang", F.lit(" "))))
@@ -203,7 +203,9 @@ class StandIns:
         caption = (F.when(F.col("k") % 3 == 0, captioned("wbmi-caption-value")).when(F.col("k") % 3 == 1, captioned("wbmi-caption-value more"))
                    .otherwise(F.lit("")))
         value = lambda name, prop, text: F.concat(F.lit(f'"{name}": {{"text/plain": {{"'), "lang", F.lit(f'": {{"{prop}": "'), text, F.lit('"}}}'))
-        block = lambda prop, *values: F.concat(F.lit(f"<div data-property=\"{prop}\" data-formatvalue='"), F.lit('{"first": {}, '),
+        # the first entry is skipped whatever its shape; an entry that is no object gives no value
+        first = F.when(F.col("k") % 20 == 0, '"text"').when(F.col("k") % 20 == 5, "[1, 2]").when(F.col("k") % 20 == 10, "null").otherwise("{}")
+        block = lambda prop, *values: F.concat(F.lit(f"<div data-property=\"{prop}\" data-formatvalue='"), F.lit('{"first": '), first, F.lit(', "odd": 7, '),
                                                F.concat_ws(", ", *values), F.lit("}'></div>"))
         thing = lambda n: F.concat(F.lit("thing "), _s(F.col("k") % n))
         depicts = (F.when(F.col("k") % 5 == 0, F.concat(block("P180", value("a", "P180", thing(7)), value("b", "P180", thing(3))),
@@ -214,18 +216,36 @@ class StandIns:
                         F.concat(F.lit("<html><body>"), description, caption, depicts, F.lit("</body></html>")).alias("html"),
                         F.col("k").alias("file_key"), "lang", "dir")
 
+    # -- Lines of candidate files, good and bad (A4) -------------------------------------------------
+    @cached_property
+    def candidate_lines(self) -> DataFrame:
+        """``value, wiki_db``: a TSV line for each document. Of eight, one each has too few fields, too many, no numeric page id, an empty
+        list, no JSON, and a candidate without image; two are good, one of them without candidates."""
+        d, m = F.col("doc_id"), F.col("doc_id") % 8
+        quoted = lambda json_text: F.lit('"' + json_text.replace('"', '""') + '"')
+        cell = (F.when(m == 1, "").when(m == 5, "[]").when(m == 6, "not json")
+                .when(m == 7, quoted('[{"image": null, "rating": 1, "note": "image was in the Wikidata item"}]'))
+                .otherwise(quoted('[{"image": "A, \\"B\\".jpg", "rating": 1, "note": "image was in the Wikidata item"}]')))
+        page = F.concat(F.when(m == 4, "x").otherwise(""), _s(d))
+        line = F.concat_ws("\t", _s(d), F.concat(F.lit("Q"), _s(d)), page, F.concat(F.lit("Doc "), _s(d)), cell, F.lit(""))
+        line = F.when(m == 2, F.concat_ws("\t", _s(d), F.concat(F.lit("Q"), _s(d)))).when(m == 3, F.concat(line, F.lit("\tmore"))).otherwise(line)
+        return self.table("documents").select(line.alias("value"), F.concat(F.col("lang"), F.lit("wiki")).alias("wiki_db"))
+
     # -- Raw candidates table stand-in from documents (for isolated publication tests) ---------------
     @cached_property
     def raw_from_documents(self) -> DataFrame:
         d = F.col("doc_id")
+        # lists of wikis with a line break (as JSON text) within, behind and before them
+        listed = (F.when(d % 4 == 1, r"Wikis: ruwiki,\n itwiki").when(d % 4 == 2, r"Wikis: ruwiki, itwiki\n")
+                  .when(d % 4 == 3, r"Wikis:\n ruwiki, itwiki").otherwise("Wikis: ruwiki, itwiki"))
         entries = []
         for i, (rating, note) in enumerate(
-            [("1", "image was in the Wikidata item"),
-             ("2.1", "image was found in the following Wikis: ruwiki, itwiki"),
-             ("3", "image was found in the Commons category linked in the Wikidata item")], start=1):
+            [("1", F.lit("image was in the Wikidata item")),
+             ("2.1", F.concat(F.lit("image was found in the following "), listed)),
+             ("3", F.lit("image was found in the Commons category linked in the Wikidata item"))], start=1):
             entries.append(F.concat(
                 F.lit('{"image": "File_'), _s(d * 3 + i), F.lit('.jpg", "rating": ' + rating + ', "note": "'),
-                F.lit(note), F.lit('"}')))
+                note, F.lit('"}')))
         m = d % 5
         tc = (F.when(m == 0, F.lit(None).cast("string"))
               .when(m == 1, F.concat(F.lit("["), entries[0], F.lit("]")))

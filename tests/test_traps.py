@@ -241,3 +241,28 @@ def test_approx_median_close_to_exact(spark):
     exact = E.median(df, "n").collect()[0][0]
     approx = E.approx_median(df, "n", 0.01).collect()[0][0]
     assert abs(exact - 50.5) < 1e-9 and abs(approx - 50.5) <= 1
+
+
+def test_found_on_lists_with_line_breaks(spark):
+    """A list that goes on after a line break is no list to its end; a final line break does not count."""
+    notes = ["image was found in the following Wikis: ab, c", "image was found in the following Wikis: ab,\n c", "image was found in the following Wikis: ab, c\n",
+             "image was found in the following Wikis:\n ab", "image was found in the following Wikis:ab", "Wikis: a Wikis: b\nWikis: c", "none", "", None]
+    got = spark.createDataFrame([(i, n) for i, n in enumerate(notes)], "i int, note string").select("i", C.found_on("note").alias("f")).orderBy("i").collect()
+    assert [r.f for r in got] == [["ab", "c"], [""], ["ab", "c"], ["ab"], [""], ["c"], [""], [""], None]
+
+
+def test_depicts_with_odd_entries(spark):
+    """Entries of any shape stand beside the ones that count; the first is skipped by its place, not by its key."""
+    from picsel.operators import page_metadata as M
+    value = '{"text/plain": {"en": {"P180": "cat", "P275": "no"}, "fr": "flat"}}'
+    blocks = ['{"z": "text", "a": %s}', '{"z": [1], "a": %s}', '{"z": null, "a": %s}', '{"z": 1, "y": 2, "x": [3], "w": {}, "v": {"text/plain": 4}, "u": {"text/plain": {"en": 5}}, "a": %s}',
+              '{"a": %s}', '[%s]', '{"z": {}, "a": {"text/plain": %s}}']
+    html = ["<div data-property='P180' data-formatvalue='" + b % value + "'></div>" for b in blocks]
+    rows = spark.createDataFrame([(i, "en", "ltr", h) for i, h in enumerate(html)], "i int, language string, direction string, html string")
+    assert [r.depicts for r in M.page_fields(rows).orderBy("i").collect()] == [["cat"]] * 4 + [[]] * 3
+    assert [r.depicts for r in M.page_fields(rows.withColumn("language", F.lit("fr"))).collect()] == [[]] * 7
+
+
+def test_description_classes_apart_by_more_spaces():
+    assert H.description(H.parse('<div class=" description  mw-content-ltr\ten">x</div>'), "en", "ltr") == "x"
+    assert H.description(H.parse('<div class="mw-content-ltr description en">x</div>'), "fr", "ltr") is None

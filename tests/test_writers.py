@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from picsel.operators import publish as D
+from picsel.operators import serving as V
 from picsel.plans.registry import run_for
 from picsel.sources.readers import read_candidates_tsv, read_partitioned_tsv, read_raw_parquet
 from conftest import SF_SMALL, same_rows
@@ -56,7 +57,7 @@ def test_production_and_search_writes_and_tables(spark, scratch):
 def test_serving_table_layout(spark, scratch):
     run = run_for(spark, SF_SMALL)
     serving = D.serving_table(D.export_rows(run.production_table("ds", 1.0)))
-    D.write_serving(serving, scratch + "/serving")
+    V.write_serving(serving, scratch + "/serving")
     back = spark.read.parquet(scratch + "/serving")
     assert back.count() == serving.count()
     assert dict(back.dtypes)["page_id"] == "bigint"

@@ -9,16 +9,18 @@ largest response of a window gets a gradient. For prediction, tables of neighbou
 pairs.
 
 Training reads at most ``SAMPLE`` documents of each language (those with the smallest hash of the id) and ``PER_DOC`` windows of
-each, spread over the text, for the ``LANGUAGES`` most frequent languages: a bounded sample, whatever the size of the table.
+each, spread over the text: a bounded sample, whatever the size of the table. Every language is learned; with so many that all would have more than
+``SAMPLE_ALL`` documents, each has fewer.
+
+A letter is a character of Unicode's general category L, in training and prediction alike: ``½``, ``²`` and ``ⅷ`` are none.
 
 Odd rows: null texts and texts without a letter get ``und`` and score 0; rows without a language are not learned from; without
-any labelled row every text gets ``und``; repeated rows get equal answers.
+any labelled row every text gets ``und``; repeated rows get equal answers; a very long text is predicted from all its windows, 64 at a
+time. Other columns are not read, so their names do not matter.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -28,9 +30,13 @@ from picsel.llm.common import blocks, utf8
 
 WINDOW = 256
 WIDTHS, FILTERS = (2, 3, 4), 8
-SAMPLE, PER_DOC, LANGUAGES = 800, 2, 200
+#: Documents of a language that are learned from, of all languages together, and windows of a document.
+SAMPLE, SAMPLE_ALL, PER_DOC = 800, 160_000, 2
 EPOCHS, RATE, SEED = 8, 0.01, 7
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
 def windows_of(raw: bytes) -> np.ndarray:
@@ -118,22 +124,23 @@ def _sample(docs: DataFrame) -> DataFrame:
     many as needed on average), so that hardly more than the sample is shuffled, however large a language is. Should they be too
     few, as where an id repeats, all rows of the language are ranked.
     """
-    own = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text").filter(F.col("text").rlike(r"\p{L}"))
+    own = docs.filter("lang is not null and text is not null").select("doc_id", "lang", "text").filter(has_letter(F.col("text")))
     own = own.withColumn("hash", F.xxhash64("doc_id"))
     spark, ddl = docs.sparkSession, "lang string, cut double"
-    counts = own.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    cuts = {r.lang: -2.0 ** 63 + 2.0 ** 64 * min(1.0, 4.0 * SAMPLE / r.n) for r in counts}
+    counts = own.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row for each language
+    size = max(1, min(SAMPLE, SAMPLE_ALL // max(1, len(counts))))
+    cuts = {r.lang: -2.0 ** 63 + 2.0 ** 64 * min(1.0, 4.0 * size / r.n) for r in counts}
 
     def near():
-        # a row for each of at most LANGUAGES languages is broadcast
+        # a row for each language is broadcast
         return own.join(F.broadcast(spark.createDataFrame(list(cuts.items()), ddl)), "lang").filter(F.col("hash") <= F.col("cut"))
 
-    large = {r.lang for r in counts if r.n > 4 * SAMPLE}
+    large = {r.lang for r in counts if r.n > 4 * size}
     if large:
         found = {r.lang: r.n for r in near().groupBy("lang").agg(F.count("*").alias("n")).collect()}
-        cuts.update({lang: 2.0 ** 63 for lang in large if found.get(lang, 0) < SAMPLE})
+        cuts.update({lang: 2.0 ** 63 for lang in large if found.get(lang, 0) < size})
     order = Window.partitionBy("lang").orderBy("hash", F.xxhash64("text"))
-    own = near().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE)
+    own = near().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
     schema = pa.schema([("lang", pa.string()), ("window", pa.binary())])
 
     def run(it):
@@ -168,7 +175,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
         net = shared.value
         for block in blocks(it, "text", 1 << 20):
             texts = block.column("text").to_pylist()
-            known = [net is not None and t is not None and bool(_LETTER.search(t)) for t in texts]
+            known = [net is not None and k for k in block.column("known").to_pylist()]
             langs, scores = ["und"] * len(texts), [0.0] * len(texts)
             where = [i for i, k in enumerate(known) if k]
             if where:
@@ -180,7 +187,8 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
                     best = int(p.argmax())
                     langs[i], scores[i] = net.languages[best], float(min(p[best], 1.0))
             yield pa.RecordBatch.from_arrays([block.column(0), block.column(1), pa.array(langs), pa.array(scores, pa.float64())], schema=schema)
-    return docs.select(F.col("doc_id").cast("long"), "held_out", F.col("text").cast("string").alias("text")).mapInArrow(
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long"), "held_out", text.alias("text"), has_letter(text).alias("known")).mapInArrow(
         run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from picsel.llm.common import SPACE, utf8
+from picsel.llm.common import SPACE, stage, utf8
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower", "n_bangs",
             "n_abusive", "n_learned")
@@ -196,13 +196,15 @@ def _first(rows: DataFrame, toxic: int, n: int) -> DataFrame:
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Lexicon:
     """The stems that at least ``SUPPORT`` toxic texts of the sample have, and 85 % of whose occurrences are in toxic texts.
 
-    ``labels`` has the columns ``doc_id`` and ``toxic`` (0 or 1).
+    ``labels`` has the columns ``doc_id`` and ``toxic`` (0 or 1). The sample is drawn from the distinct labels of documents with a text,
+    so neither labels of documents that ``docs`` lacks nor repeated labels use up its places.
     """
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     rows = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("long").alias("toxic"))
-    rows = rows.filter("id is not null and toxic in (0, 1)").withColumn("hash", F.md5(F.col("id").cast("string")))
+    rows = rows.filter("id is not null and toxic in (0, 1)").distinct().join(source.select("id").distinct(), "id", "left_semi")
+    rows = stage(rows.withColumn("hash", F.md5(F.col("id").cast("string"))), "labelled")
     counts = dict(rows.groupBy("toxic").count().collect())
     chosen = _first(rows, 0, counts.get(0, 0)).unionByName(_first(rows, 1, counts.get(1, 0)))
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
     # at most the sample's ids are broadcast
     texts = source.join(F.broadcast(chosen.select("id", "toxic").distinct()), "id").select("text", "toxic").distinct()
     counted = texts.mapInArrow(_count_stems, "stem string, docs long, toxic long, clean long")

@@ -133,7 +133,7 @@ _QUALITY_SQL = rf"""
 WITH chosen AS (
   SELECT doc_id, toxic FROM (
     SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id::VARCHAR), doc_id) AS place
-    FROM labels WHERE doc_id IS NOT NULL AND toxic IN (0, 1))
+    FROM (SELECT DISTINCT doc_id, toxic FROM labels WHERE toxic IN (0, 1) AND doc_id IN (SELECT doc_id FROM documents WHERE text IS NOT NULL)))
   WHERE place <= CASE WHEN toxic = 1 THEN {quality.SAMPLE[1]} ELSE {quality.SAMPLE[0]} END),
 sample AS (SELECT row_number() OVER () AS k, text, toxic FROM (SELECT DISTINCT text, toxic FROM documents JOIN chosen USING (doc_id) WHERE text IS NOT NULL)),
 sample_words AS (SELECT k, toxic, {_BARE} AS c FROM (SELECT k, toxic, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM sample)),

@@ -156,6 +156,18 @@ def test_quality_sample_is_that_of_the_smallest_hashes(spark):
         assert first(ids) == order(ids)
 
 
+def test_quality_sample_is_of_labels_that_meet_a_text(spark, monkeypatch):
+    """Labels of unknown documents, of documents without text, and repeated ones do not use up the sample's places."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    want = quality.learn(docs, labels).stems
+    foreign = spark.range(1_000_000, 1_060_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    empty = spark.createDataFrame([(i, None) for i in range(-50, 0)], "doc_id long, text string")
+    more = labels.unionByName(foreign).unionByName(empty.select("doc_id", F.lit(1).alias("toxic"))).unionByName(labels.where("toxic = 1"))
+    monkeypatch.setattr(quality, "SAMPLE", {0: 8000, 1: labels.where("toxic = 1").count()})
+    assert len(want) > 20 and quality.learn(docs.select("doc_id", "text").unionByName(empty), more).stems == want
+
+
 def test_quality_learns_stems_of_any_language(spark):
     insults = ["Schufté", "schuftig,", "(SCHUFTEN)"]
     filler = lambda n: " ".join(f"w{n}x{k}" for k in range(60))
@@ -406,10 +418,12 @@ def test_language_id(spark):
 
 def test_language_id_sample_is_bounded(spark, monkeypatch):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    monkeypatch.setattr(langid, "SAMPLE", 10)
-    monkeypatch.setattr(langid, "LANGUAGES", 3)
-    got = langid._sample(docs).collect()
-    assert len({r.lang for r in got}) == 3 and 30 <= len(got) <= 3 * 10 * langid.PER_DOC
+    languages = docs.select("lang").distinct().count()
+    for each, all_, size in ((10, 160_000, 10), (800, 5 * languages, 5), (800, 1, 1)):
+        monkeypatch.setattr(langid, "SAMPLE", each)
+        monkeypatch.setattr(langid, "SAMPLE_ALL", all_)
+        got = langid._sample(docs).collect()
+        assert len({r.lang for r in got}) == languages and size * languages <= len(got) <= size * languages * langid.PER_DOC
 
 
 def test_language_id_learns_languages_of_few_ids(spark, monkeypatch):
@@ -421,6 +435,32 @@ def test_language_id_learns_languages_of_few_ids(spark, monkeypatch):
     assert sorted(got) == ["aa"] * 10 + ["bb"] * 10 + ["cc"] * 10
 
 
+def test_language_id_knows_letters(spark):
+    """Only Unicode's general category L counts: other numbers, marks and symbols that look like words do not."""
+    none = ["½ ² ③ 12", "²", "ⅷ Ⅻ", "۳ ३ 7", "_ - 😀 €", "\u0301\u20dd", "\u00a0\u3000", ""]
+    some = ["½ a", "ª", "ʰ", "日", "ǅ", "א", "ß"]
+    texts = [(i, t, "x" if i % 2 else "y") for i, t in enumerate(none + some)] + [(50 + i, f"word number {i}", "xy"[i % 2]) for i in range(20)]
+    got = {r.doc_id: r for r in langid.train_and_predict(spark.createDataFrame(texts, "doc_id long, text string, lang string")).collect()}
+    assert [got[i].lang_pred == "und" for i in range(len(none + some))] == [True] * len(none) + [False] * len(some)
+    assert all(got[i].score == 0 for i in range(len(none)))
+
+
+def test_language_id_network_against_plain_loops():
+    rng = np.random.default_rng(3)
+    windows = rng.integers(0, 256, (90, langid.WINDOW)).astype(np.uint8)
+    windows[:45, ::3] = 7
+    labels = (np.arange(90) >= 45).astype(np.int64)
+    net = langid.fit(windows, labels, ["a", "b"])
+    got = net.probabilities(windows)
+    for x, p in zip(windows[::11], got[::11]):
+        act = [max(float(sum(t[j][x[i + j], f] for j in range(len(t)))) for i in range(langid.WINDOW - len(t) + 1)) for t in net.tables for f in range(langid.FILTERS)]
+        hidden = [max(a + float(b), 0) for a, b in zip(act, net.bias)]
+        z = [sum(h * float(net.dense[i, c]) for i, h in enumerate(hidden)) + float(net.offset[c]) for c in range(2)]
+        want = np.exp(np.array(z) - max(z))
+        assert np.allclose(p, want / want.sum(), atol=1e-4)
+    assert (got.argmax(axis=1) == labels).mean() > 0.95
+
+
 def test_language_id_odd_rows(documents, rows):
     got = langid.train_and_predict(documents).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)

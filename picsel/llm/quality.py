@@ -3,13 +3,15 @@
 Every rule is evaluated once per document. The ledger keeps the measurements and one long with a bit per failed rule; a policy
 is a versioned mask of rules, so a policy is applied, compared or ablated by bitwise operations, without reading a text again.
 
-The insults of other languages, and new ones, are learned: ``learn`` compares the beginnings of words (4 to 9 letters) in documents
-labelled toxic and clean, and keeps those that are mostly of toxic ones. It reads a bounded sample: of each label, the ``SAMPLE`` documents with
-the smallest md5 of the id; whole texts, equal texts once. Labels of no document, null ids and other labels than 0 and 1 are left
-out; without toxic documents nothing is learned. The rules then cover all documents.
+The insults of other languages, and new ones, are learned: ``learn`` compares, language by language, the beginnings of words (4 to 9 letters) in
+documents labelled toxic and clean, and keeps those that are mostly of toxic ones and in more toxic texts than chance would
+explain. It reads a bounded sample: of each language and label, the ``SAMPLE`` documents with the smallest md5 of the id (fewer with so many
+languages that all would have more than ``SAMPLE_ALL``); whole texts, equal texts once. Labels of no document, null ids and other
+labels than 0 and 1 are left out; documents without a language make up one of their own; without toxic documents nothing is
+learned. The rules then cover all documents, whatever their language.
 
 Odd rows: a null text counts as an empty one (no words); each row is judged by itself, so repeated rows and ids get equal
-results; an empty table gives an empty ledger. Columns of the input named like the ledger's are not read.
+results; an empty table gives an empty ledger; a very long text is measured whole. Columns of the input named like the ledger's are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from picsel.llm.common import SPACE, stage, utf8
@@ -34,12 +36,13 @@ ABUSIVE = ("asshole", "bastard", "bitch", "clown", "cretin", "disgusting", "dumb
            "scumbag", "stupid", "trash", "vermin", "worthless")
 _ABUSIVE = frozenset(w.encode() for w in ABUSIVE)
 
-#: Labelled documents that are learned from, by label (0: clean, 1: toxic), and most stems that are kept.
-SAMPLE = {0: 8000, 1: 2000}
-STEMS = 20_000
-#: Lengths of stems, and the toxic documents that a stem must be in.
+#: Labelled documents that are learned from, by label (0: clean, 1: toxic): of each language, and of all together.
+SAMPLE, SAMPLE_ALL = {0: 8000, 1: 2000}, {0: 80_000, 1: 20_000}
+#: Lengths of stems.
 LENGTHS = range(4, 10)
-SUPPORT = 8
+#: A stem must be in so many toxic texts that the chance of drawing as many among its language's texts is under 10 ** -SURPRISE, and
+#: in one of RARE toxic texts at least.
+SURPRISE, RARE = 5, 250
 
 #: Rules in bit order: name and the SQL condition, over measurements, under which a document fails. New rules are appended,
 #: bits never move.
@@ -152,24 +155,24 @@ def measure(text: str | None, lexicon: Lexicon = _NONE) -> tuple[int, ...]:
 
 
 def _count_stems(it):
-    """Documents and occurrences of each stem in the toxic texts, and occurrences in the clean ones, summed over some batches."""
-    seen: dict[str, list[int]] = {}
+    """Documents and occurrences of each stem in a language's toxic texts, and occurrences in the clean ones, summed over some batches."""
+    seen: dict[tuple[str, str], list[int]] = {}
 
     def flush():
-        rows = [(s, *n) for s, n in seen.items()]
+        rows = [(*s, *n) for s, n in seen.items()]
         for a in range(0, len(rows), 1 << 16):
-            stem, *counts = zip(*rows[a:a + (1 << 16)])
-            yield pa.RecordBatch.from_arrays([pa.array(stem, pa.string())] + [pa.array(c, pa.int64()) for c in counts],
-                                             names=["stem", "docs", "toxic", "clean"])
+            lang, stem, *counts = zip(*rows[a:a + (1 << 16)])
+            yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(stem, pa.string())] + [pa.array(c, pa.int64()) for c in counts],
+                                             names=["lang", "stem", "docs", "toxic", "clean"])
 
     for batch in it:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, lang, toxic in zip(*[batch.column(c).to_pylist() for c in range(3)]):
             own: Counter = Counter()
             for word, n in Counter(utf8(text).split()).items():
                 for s in stems(word.decode("utf-8")):
                     own[s] += n
             for s, n in own.items():
-                x = seen.setdefault(s, [0, 0, 0])
+                x = seen.setdefault((lang, s), [0, 0, 0])
                 x[0] += toxic
                 x[2 - toxic] += n
             if len(seen) > 1 << 20:
@@ -178,39 +181,48 @@ def _count_stems(it):
     yield from flush()
 
 
-def _first(rows: DataFrame, toxic: int, n: int) -> DataFrame:
-    """The ``SAMPLE`` rows of a label with the smallest hash, of ``n`` rows.
+def _smallest(rows: DataFrame) -> DataFrame:
+    """Of ``id, lang, toxic, hash``, the sample of each language and label: the rows with the smallest hash.
 
-    Only hashes that can be among the smallest (half as many again as needed, on average) are sorted, so that the sorting task
+    Only hashes that can be among the smallest (half as many again as needed, on average) are ranked, so that the ranking task of a language
     does not grow with the table. Should they be too few, as where an id repeats, all are.
     """
-    size = SAMPLE[toxic]
-    own = rows.filter(F.col("toxic") == toxic)
-    part = F.conv(F.substring("hash", 1, 12), 16, 10).cast("long")
-    near = own.filter(part <= F.lit(int(1.5 * size / n * (1 << 48)))) if n > 1.5 * size else own
-    if near.limit(size).count() < min(size, n):
-        near = own
-    return near.orderBy("hash", "id").limit(size)
+    spark, part = rows.sparkSession, F.conv(F.substring("hash", 1, 12), 16, 10).cast("long")
+    counts = {(r.lang, r.toxic): r["count"] for r in rows.groupBy("lang", "toxic").count().collect()}  # two rows a language
+    size = {t: max(1, min(SAMPLE[t], SAMPLE_ALL[t] // max(1, len({lang for lang, _ in counts})))) for t in SAMPLE}
+    cuts = {(lang, t): 1 << 48 if n <= 1.5 * size[t] else int(1.5 * size[t] / n * (1 << 48)) for (lang, t), n in counts.items()}
 
+    def near() -> DataFrame:
+        table = spark.createDataFrame([(lang, t, cut, size[t]) for (lang, t), cut in cuts.items()], "lang string, toxic long, cut long, size long")
+        return rows.join(F.broadcast(table), ["lang", "toxic"]).filter(part <= F.col("cut"))
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Lexicon:
-    """The stems that at least ``SUPPORT`` toxic texts of the sample have, and 85 % of whose occurrences are in toxic texts.
+    if any(cut < 1 << 48 for cut in cuts.values()):
+        found = {(r.lang, r.toxic): r["count"] for r in near().groupBy("lang", "toxic").count().collect()}
+        cuts = {k: cut if found.get(k, 0) >= min(size[k[1]], counts[k]) else 1 << 48 for k, cut in cuts.items()}
+    order = Window.partitionBy("lang", "toxic").orderBy("hash", "id")
+    return near().withColumn("place", F.row_number().over(order)).filter(F.col("place") <= F.col("size")).select("id", "lang", "toxic")
+
+
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Lexicon:
+    """The stems that toxic texts of a language's sample have surprisingly often, and 85 % of whose occurrences are in toxic texts.
 
     ``labels`` has the columns ``doc_id`` and ``toxic`` (0 or 1). The sample is drawn from the distinct labels of documents with a text,
-    so neither labels of documents that ``docs`` lacks nor repeated labels use up its places.
+    so neither labels of documents that ``docs`` lacks nor repeated labels use up its places. ``docs`` need not have ``lang_col``.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("text is not null")
+    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), lang.alias("lang")).filter("text is not null")
     rows = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("long").alias("toxic"))
-    rows = rows.filter("id is not null and toxic in (0, 1)").distinct().join(source.select("id").distinct(), "id", "left_semi")
+    rows = rows.filter("id is not null and toxic in (0, 1)").distinct().join(source.select("id", "lang").distinct(), "id")
     rows = stage(rows.withColumn("hash", F.md5(F.col("id").cast("string"))), "labelled")
-    counts = dict(rows.groupBy("toxic").count().collect())
-    chosen = _first(rows, 0, counts.get(0, 0)).unionByName(_first(rows, 1, counts.get(1, 0)))
-    # at most the sample's ids are broadcast
-    texts = source.join(F.broadcast(chosen.select("id", "toxic").distinct()), "id").select("text", "toxic").distinct()
-    counted = texts.mapInArrow(_count_stems, "stem string, docs long, toxic long, clean long")
-    total = counted.groupBy("stem").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    found = total.filter((F.col("docs") >= SUPPORT) & (20 * F.col("toxic") >= 17 * (F.col("toxic") + F.col("clean"))))
-    return Lexicon(r.stem for r in found.orderBy(F.desc("docs"), F.desc("toxic"), "stem").limit(STEMS).select("stem").collect())
+    # at most SAMPLE_ALL ids are broadcast, or one of each language and label
+    texts = stage(source.join(F.broadcast(_smallest(rows)), ["id", "lang"]).select("text", "lang", "toxic").distinct(), "sample")
+    counted = texts.mapInArrow(_count_stems, "lang string, stem string, docs long, toxic long, clean long")
+    total = counted.groupBy("lang", "stem").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    sizes = texts.groupBy("lang").agg(F.count("*").alias("n"), F.sum("toxic").alias("n_toxic"))
+    found = total.filter("docs > 0").join(F.broadcast(sizes), "lang").filter(
+        (F.col("docs") * F.log10(F.try_divide("n", "n_toxic")) >= SURPRISE) & (RARE * F.col("docs") >= F.col("n_toxic"))
+        & (20 * F.col("toxic") >= 17 * (F.col("toxic") + F.col("clean"))))
+    return Lexicon(r.stem for r in found.select("stem").distinct().collect())  # some of a bounded sample's
 
 
 def with_measures(docs: DataFrame, text_col: str = "text", prefix: str = "__picsel_q_", lexicon: Lexicon = _NONE) -> DataFrame:
@@ -218,7 +230,7 @@ def with_measures(docs: DataFrame, text_col: str = "text", prefix: str = "__pics
     fields = [f for f in docs.schema.fields if not f.name.startswith(prefix)]
     source = docs.select(*[F.col(f"`{f.name}`") for f in fields])
     at = [f.name for f in fields].index(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # STEMS short strings at most
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # short strings of a bounded sample
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"{prefix}{m} long" for m in MEASURES])
 
     def run(it):

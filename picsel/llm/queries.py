@@ -130,19 +130,23 @@ _STEM_LIST = ", ".join(f"left(c, {k})" for k in quality.LENGTHS)
 _BARE = f"translate(trim(w, '{_PUNCTUATION}'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _QUALITY_SQL = rf"""
-WITH chosen AS (
-  SELECT doc_id, toxic FROM (
-    SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY md5(doc_id::VARCHAR), doc_id) AS place
-    FROM (SELECT DISTINCT doc_id, toxic FROM labels WHERE toxic IN (0, 1) AND doc_id IN (SELECT doc_id FROM documents WHERE text IS NOT NULL)))
-  WHERE place <= CASE WHEN toxic = 1 THEN {quality.SAMPLE[1]} ELSE {quality.SAMPLE[0]} END),
-sample AS (SELECT row_number() OVER () AS k, text, toxic FROM (SELECT DISTINCT text, toxic FROM documents JOIN chosen USING (doc_id) WHERE text IS NOT NULL)),
-sample_words AS (SELECT k, toxic, {_BARE} AS c FROM (SELECT k, toxic, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM sample)),
-sample_stems AS (SELECT k, toxic, unnest(list_distinct([{_STEM_LIST}])) AS stem FROM sample_words WHERE c <> ''),
+WITH labelled AS MATERIALIZED (
+  SELECT DISTINCT doc_id, coalesce(lang, '') AS lang, toxic FROM labels JOIN documents USING (doc_id) WHERE toxic IN (0, 1) AND text IS NOT NULL),
+chosen AS (
+  SELECT doc_id, lang, toxic FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang, toxic ORDER BY md5(doc_id::VARCHAR), doc_id) AS place, (SELECT count(DISTINCT lang) FROM labelled) AS langs
+    FROM labelled)
+  WHERE place <= CASE WHEN toxic = 1 THEN least({quality.SAMPLE[1]}, {quality.SAMPLE_ALL[1]} // langs) ELSE least({quality.SAMPLE[0]}, {quality.SAMPLE_ALL[0]} // langs) END),
+sample AS (SELECT row_number() OVER () AS k, text, lang, toxic FROM (
+  SELECT DISTINCT text, c.lang, c.toxic FROM documents d JOIN chosen c ON c.doc_id = d.doc_id AND c.lang = coalesce(d.lang, '') WHERE text IS NOT NULL)),
+sample_words AS (SELECT k, lang, toxic, {_BARE} AS c FROM (SELECT k, lang, toxic, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM sample)),
+sample_stems AS (SELECT k, lang, toxic, unnest(list_distinct([{_STEM_LIST}])) AS stem FROM sample_words WHERE c <> ''),
 lexicon AS MATERIALIZED (
-  SELECT stem FROM (
-    SELECT stem, count(DISTINCT k) FILTER (WHERE toxic = 1) AS docs, count(*) FILTER (WHERE toxic = 1) AS hits, count(*) AS n
-    FROM sample_stems GROUP BY stem)
-  WHERE docs >= {quality.SUPPORT} AND 20 * hits >= 17 * n ORDER BY docs DESC, hits DESC, stem LIMIT {quality.STEMS}),
+  SELECT DISTINCT stem FROM (
+    SELECT lang, stem, count(DISTINCT k) FILTER (WHERE toxic = 1) AS docs, count(*) FILTER (WHERE toxic = 1) AS hits, count(*) AS n
+    FROM sample_stems GROUP BY lang, stem)
+  JOIN (SELECT lang, count(*) AS texts, sum(toxic) AS toxic_texts FROM sample GROUP BY lang) USING (lang)
+  WHERE docs > 0 AND docs * log10(texts / toxic_texts) >= {quality.SURPRISE} AND {quality.RARE} * docs >= toxic_texts AND 20 * hits >= 17 * n),
 t AS (
   SELECT doc_id, row_number() OVER () AS k, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,

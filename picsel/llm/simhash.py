@@ -10,7 +10,9 @@ fingerprints is split by the blocks of the bits it does not agree on yet, as oft
 A shard returns a spanning forest of its links, which connects the same fingerprints as all of its links do.
 
 Nulls and odd rows: a null or blank text has fingerprint 0 and links like any other. Rows with equal or null ``doc_id`` are
-kept; a component's id is its smallest non-null ``doc_id``. An empty table gives an empty result.
+kept; a component's id is its smallest non-null ``doc_id``. An empty table gives an empty result. A very long text is
+summed up a stretch of shingles at a time. :func:`near_duplicates` reads no other columns; :func:`keep_one` passes them on whatever
+their names (but for names that begin with ``__picsel``).
 """
 
 from __future__ import annotations
@@ -169,13 +171,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, id_col: st
     ``group_fp`` names the connected component (its smallest fingerprint); ``component_id`` is its smallest ``doc_id``.
     """
     rows = stage(fingerprints(docs, width, id_col, text_col), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
     roots = connected_components(links(nodes.select("fp"), radius, cap).toDF("src", "dst"))
     nodes = nodes.join(roots.toDF("fp", "root"), "fp", "left").withColumn("group_fp", F.coalesce("root", "fp"))
     first = stage(nodes.groupBy("group_fp").agg(F.min("first_id").alias("component_id"), F.count("*").alias("degree")), "first")
     # a group has its linked nodes and its root, so linked nodes are at least half of any group's
-    groups = stage(with_key_values(nodes.select("fp", "group_fp"), first, "group_fp", 2 * roots.count()), "groups")
-    return rows.join(groups, "fp").select("doc_id", "fp", "group_fp", "component_id")
+    groups = stage(with_key_values(nodes.select("fp", "group_fp", "copies"), first, "group_fp", 2 * roots.count()), "groups")
+    # a fingerprint of very many rows: they stay where they are and get its group by a bounded broadcast
+    found = with_key_values(rows, groups.withColumnRenamed("copies", "degree"), "fp", rows.count())
+    return found.select("doc_id", "fp", "group_fp", "component_id")
 
 
 def hex_fingerprint(fp) -> F.Column:

@@ -12,7 +12,8 @@ A reader takes the footer, the seek table and only the frames that hold the aske
 checksum. Files are written to a name of the attempt and then renamed, so a lost or repeated task leaves whole files only.
 
 Odd rows: a null text is empty (its end id alone); documents without an id come first; rows with equal ids are ordered by
-a hash of their text; an empty table gives no rows.
+a hash of their text; an empty table gives no rows. A very long text goes over many frames. Other columns are not read, so their
+names do not matter.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ _SKIPPABLE = 0x184D2A5E
 _FOOTER = struct.Struct("<QIQQ8s")  # table bytes, table crc32, frames, documents, magic
 _FRAMES = np.dtype([("bytes", "<u4"), ("ids", "<u4"), ("crc", "<u4")])
 _DOCS = np.dtype([("doc_id", "<i8"), ("has_id", "<u1"), ("first", "<u8"), ("ids", "<u8")])
+#: Text of a file at most, and at least where there are enough files for all tasks; documents whose table entries are held unpacked.
+FILE_BYTES, SMALL_FILE, TABLE_ROWS = 256 << 20, 8 << 20, 65_536
 #: Words whose ids a worker remembers (about 200 bytes each).
 MEMORY = 1_500_000
 
@@ -74,7 +77,8 @@ class Writer:
     """Writes one file; ``add`` takes documents in order."""
 
     def __init__(self, out):
-        self.out, self.frames, self.docs, self.total = out, [], [], 0
+        self.out, self.frames, self.total = out, [], 0
+        self.docs, self.full, self.n_docs = [], [], 0  # documents of late as tuples, earlier ones as packed tables
         self.open: list[bytes] = []
         self.held = 0
         self.pack = zstandard.ZstdCompressor(level=3, write_checksum=True)
@@ -86,6 +90,9 @@ class Writer:
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         self.docs.append((doc_id or 0, doc_id is not None, self.total, len(ids) // 4))
+        self.n_docs += 1
+        if len(self.docs) >= TABLE_ROWS:
+            self._flush_docs()
         self.total += len(ids) // 4
         self.open.append(ids)
         self.held += len(ids)
@@ -96,13 +103,18 @@ class Writer:
                 self._frame(data[i:i + 4 * FRAME_IDS])
             self.open, self.held = [data[whole:]], len(data) - whole
 
+    def _flush_docs(self) -> None:
+        self.full.append(np.array(self.docs, _DOCS).tobytes())
+        self.docs = []
+
     def close(self) -> None:
         if self.held:
             self._frame(b"".join(self.open))
-        table = np.array(self.frames, _FRAMES).tobytes() + np.array(self.docs, _DOCS).tobytes()
+        self._flush_docs()
+        table = np.array(self.frames, _FRAMES).tobytes() + b"".join(self.full)
         table = zstandard.ZstdCompressor(level=3).compress(table)
         self.out.write(struct.pack("<II", _SKIPPABLE, len(table) + _FOOTER.size) + table)
-        self.out.write(_FOOTER.pack(len(table), zlib.crc32(table), len(self.frames), len(self.docs), MAGIC))
+        self.out.write(_FOOTER.pack(len(table), zlib.crc32(table), len(self.frames), self.n_docs, MAGIC))
 
 
 class Reader:
@@ -154,6 +166,11 @@ def _filesystem(uri: str):
     return pa.fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
+def files_for(size: int, tasks: int) -> int:
+    """Number of files for ``size`` bytes of text: one a task, but none of more than ``FILE_BYTES`` and few of less than ``SMALL_FILE``."""
+    return max(1, -(-size // FILE_BYTES), min(tasks, -(-size // SMALL_FILE)))
+
+
 _MANIFEST = pa.schema([("part", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 
 
@@ -182,11 +199,12 @@ def write_files(docs: DataFrame, folder: str, model_path: str, end_id: int = 1)
             writer.close()
             out.close()
             fs.move(draft, f"{base}/{name}.tok")
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([f"{base}/{name}.tok"]), pa.array([len(writer.docs)], pa.int64()),
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([f"{base}/{name}.tok"]), pa.array([writer.n_docs], pa.int64()),
                                               pa.array([writer.total], pa.int64())], schema=_MANIFEST)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = files_for(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # the hash tells rows with one id apart, so that many of them need not meet in one file
     order = F.col("doc_id").asc_nulls_first(), F.xxhash64("text")
     ordered = source.repartitionByRange(parts, *order).sortWithinPartitions(*order)

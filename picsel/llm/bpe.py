@@ -6,15 +6,18 @@ without ASCII white space (the tokenizer splits further inside them, at other sp
 1. Spark cuts the documents into blocks of bounded text. A block keeps its distinct words and, for each document, the
    positions of its words in that list (by falling frequency, as a compressed byte-plane array). Blocks are written as a
    table bucketed by block.
-2. The words of all blocks meet by hash bucket; each distinct word is encoded once.
-3. Each bucket sends its blocks the ids of their words, which join the blocks by position. The ids of a block's words join
+2. The words of all blocks meet by hash bucket; each distinct word is encoded once. The number of buckets follows the number of distinct
+   words of all blocks, estimated from the smallest hashes that the blocks keep, not the number of blocks.
+3. Each bucket sends its blocks the ids of their words, which join the blocks by position; a task holds the words of a bucket and
+   reads the blocks' lists as a stream. The ids of a block's words join
    the vocabulary by id: a table of fixed size (the model's), broadcast, so that pieces need no shuffle. The documents are
    put together from both by position.
 
 What meets in a task is a block or a bucket, both of bounded size; a frequent word counts once a block.
 
 Odd rows: a null text is empty (no tokens); rows are encoded one by one, so repeated or null ids are kept; a word longer than a
-block is one word still; an empty table gives an empty result.
+block is one word still; an empty table gives an empty result. A text longer than a block is a block of its own. Other columns are not read, so their names do
+not matter.
 """
 
 from __future__ import annotations
@@ -35,9 +38,10 @@ from pyspark.sql import functions as F
 from picsel.llm.common import blocks as slices
 from picsel.llm.common import stage, stage_path, utf8
 
-#: Text of a block, and distinct words of blocks that meet in a bucket (on average).
+#: Text of a block, distinct words of a bucket (on average), and hashes that a block keeps for the estimate of their number.
 BLOCK_BYTES = 32 << 20
-BUCKET_WORDS = 200_000
+BUCKET_WORDS = 50_000
+SKETCH = 512
 
 
 class Encoder:
@@ -129,8 +133,8 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
-_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("counts", pa.binary()), ("positions", pa.binary()), ("words", pa.binary()), ("n_words", pa.int64())])
-_BLOCK_DDL = "block long, ids array<long>, counts binary, positions binary, words binary, n_words long"
+_BLOCK = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("counts", pa.binary()), ("positions", pa.binary()), ("words", pa.binary()), ("least", pa.list_(pa.int64()))])
+_BLOCK_DDL = "block long, ids array<long>, counts binary, positions binary, words binary, least array<long>"
 
 
 def _to_blocks(block_bytes: int):
@@ -147,7 +151,7 @@ def _to_blocks(block_bytes: int):
             return pa.RecordBatch.from_arrays([
                 pa.array([part << 32 | made], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([_pack(np.array(counts))], pa.binary()),
                 pa.array([_pack(rank[x])], pa.binary()), pa.array([pack.compress(b"\n".join([names[i] for i in order.tolist()]))], pa.binary()),
-                pa.array([len(names)], pa.int64())], schema=_BLOCK)
+                pa.array([sorted(_hash(w) for w in names)[:SKETCH]], pa.list_(pa.int64()))], schema=_BLOCK)
 
         for piece in slices(it, "text", 1 << 20):
             for doc, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist()):
@@ -166,6 +170,16 @@ def _to_blocks(block_bytes: int):
     return run
 
 
+def _hash(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word, 1) >> 1
+
+
+def distinct_words(table: DataFrame) -> int:
+    """About how many distinct words the blocks have: exact below ``SKETCH``, else from the place of the ``SKETCH``-th smallest hash."""
+    least = [r[0] for r in table.select(F.explode("least").alias("h")).distinct().orderBy("h").limit(SKETCH).collect()]
+    return len(least) if len(least) < SKETCH else int((SKETCH - 1) * 2.0 ** 63 / max(1, least[-1]))
+
+
 def _words(data: bytes) -> list[bytes]:
     return data.split(b"\n") if data else []
 
@@ -190,21 +204,23 @@ def _to_buckets(n: int):
     return run
 
 
-_WORD = pa.schema([("bucket", pa.int64()), ("word", pa.binary()), ("ids", pa.list_(pa.int32()))])
+#: A row of the word table holds up to so many words of a bucket and their ids, in the same order.
+TABLE_WORDS = 20_000
+_WORD = pa.schema([("bucket", pa.int64()), ("words", pa.binary()), ("made", pa.binary())])
 
 
 def _distinct(model):
     """Each distinct word of a bucket, encoded once; rows come sorted by bucket."""
     def run(it):
-        unpack, at, seen = zstandard.ZstdDecompressor(), None, set()
+        unpack, pack, at, seen = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3), None, set()
 
         def flush():
             words = sorted(seen)
-            for i in range(0, len(words), 20_000):
-                some = words[i:i + 20_000]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([at] * len(some), pa.int64()), pa.array(some, pa.binary()),
-                    pa.array(Encoder.of(model.value).ids([w.decode("utf-8") for w in some]), pa.list_(pa.int32()))], schema=_WORD)
+            for i in range(0, len(words), TABLE_WORDS):
+                some = words[i:i + TABLE_WORDS]
+                made = [" ".join(map(str, ids)).encode() for ids in Encoder.of(model.value).ids([w.decode("utf-8") for w in some])]
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([pack.compress(b"\n".join(some))], pa.binary()),
+                                                  pa.array([pack.compress(b"\n".join(made))], pa.binary())], schema=_WORD)
 
         for batch in it:
             for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("words").to_pylist()):
@@ -217,23 +233,30 @@ def _distinct(model):
 
 
 def word_table(lists: DataFrame, model) -> DataFrame:
-    """``bucket, word, ids`` of each distinct word of ``lists`` (``bucket, block, words``)."""
+    """``bucket, words, made``: the distinct words of ``lists`` (``bucket, block, words``) and their ids, as compressed lines."""
     n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = lists.select("bucket", "words").repartition(n, "bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(_distinct(model), "bucket long, word binary, ids array<int>")
+    return ordered.mapInArrow(_distinct(model), "bucket long, words binary, made binary")
 
 
 _BACK = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("made", pa.binary())])
 
 
-def _answer(key, left, right):
-    """For each block of a bucket: the ids of its words, in their order."""
-    unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
-    made = {w: " ".join(map(str, ids)).encode() for w, ids in zip(right.column("word").to_pylist(), right.column("ids").to_pylist())}
-    blocks, data = left.column("block").to_pylist(), left.column("words").to_pylist()
-    out = [pack.compress(b"\n".join([made[w] for w in _words(unpack.decompress(d))])) for d in data]
-    return pa.Table.from_arrays([pa.array(blocks, pa.int64()), pa.array([key[0].as_py()] * len(blocks), pa.int64()), pa.array(out, pa.binary())],
-                                schema=_BACK)
+def _answer(it):
+    """For each block's list of a bucket: the ids of its words, in their order. The rows of a bucket come with its word table first."""
+    unpack, pack, at, made = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3), None, {}
+    for batch in it:
+        blocks, buckets, out = [], [], []
+        for bucket, block, words, ids in zip(*[batch.column(c).to_pylist() for c in ("bucket", "block", "words", "made")]):
+            if bucket != at:
+                at, made = bucket, {}
+            if ids is not None:
+                made.update(zip(_words(unpack.decompress(words)), unpack.decompress(ids).split(b"\n")))
+            else:
+                blocks.append(block)
+                buckets.append(bucket)
+                out.append(pack.compress(b"\n".join([made[w] for w in _words(unpack.decompress(words))])))
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(buckets, pa.int64()), pa.array(out, pa.binary())], schema=_BACK)
 
 
 def _texts(n: int, vocabulary):
@@ -261,6 +284,8 @@ def _texts(n: int, vocabulary):
 
 def _joined(docs: DataFrame, model_path: str, block_bytes: int, emit, ddl: str) -> DataFrame:
     spark, model = docs.sparkSession, read_model(model_path)
+    if json.loads(model)["decoder"] is not None:
+        raise ValueError("pieces are joined by a space, as by a tokenizer without a decoder")
     shared, vocabulary = spark.sparkContext.broadcast(model), spark.sparkContext.broadcast(pieces(model))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -268,11 +293,12 @@ def _joined(docs: DataFrame, model_path: str, block_bytes: int, emit, ddl: str)
     (source.mapInArrow(_to_blocks(block_bytes), _BLOCK_DDL).write.option("path", path).option("compression", "none")
      .bucketBy(parts, "block").saveAsTable(name))
     table = spark.table(name)
-    total = table.agg(F.sum("n_words")).first()[0] or 0
-    n = max(1, total // BUCKET_WORDS)
+    n = max(1, distinct_words(table) // BUCKET_WORDS)
     lists = table.select("block", "words").mapInArrow(_to_buckets(n), "bucket long, block long, words binary")
     known = stage(word_table(lists, shared), "words")
-    answers = stage(lists.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, "block long, bucket long, made binary"), "answers")
+    both = lists.withColumn("made", F.lit(None).cast("binary")).unionByName(known.withColumn("block", F.lit(None).cast("long")))
+    both = both.repartition(parts, "bucket").sortWithinPartitions("bucket", F.col("made").isNull(), "block")
+    answers = stage(both.select("bucket", "block", "words", "made").mapInArrow(_answer, "block long, bucket long, made binary"), "answers")
     back = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "made")).alias("answers"))  # the words of one block
     texts = _texts(n, vocabulary)
 

@@ -9,7 +9,8 @@ The template is ``<turn ROLE>TEXT</turn>`` and a line break for each turn. In te
 a control string, not even where two parts meet; taking these backslashes away restores the text. Roles are escaped likewise.
 
 Odd rows: a null text or content counts as empty, a null role as an empty role; turns with the same number are ordered by role
-and content; repeated rows are repeated turns; rows without a conv_id form one conversation; an empty table gives none.
+and content; repeated rows are repeated turns; rows without a conv_id form one conversation; an empty table gives none. A very long text is
+part of its conversation's string like any other. Other columns are not read, so their names do not matter.
 """
 
 from __future__ import annotations

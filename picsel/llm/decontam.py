@@ -13,7 +13,8 @@ items are counted first); each block's index is broadcast, and any number of blo
 are fingerprinted a bounded stretch at a time, so memory grows with its words only, not with windows times items.
 
 Odd rows: null or word-free texts and items match nothing; every row is judged by itself, so repeated rows give repeated
-results and null ids stay null; an empty benchmark matches nothing.
+results and null ids stay null; an empty benchmark matches nothing. A very long text is searched a stretch of windows at a time. Other columns are not read by
+:func:`contaminated` and passed on by :func:`clean`, whatever their names.
 """
 
 from __future__ import annotations

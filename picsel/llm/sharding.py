@@ -6,7 +6,8 @@ task numbers a whole shard, also where one key has most of the rows. Equal rows
 out ``COPIES`` at a time, so that no task numbers or writes all copies of a row.
 
 Odd rows: null keys share one hash, hence one shard; rows with equal keys share a shard and get slots of their own; a null
-text has size 16 and the crc32 of no bytes; an empty table gives an empty result.
+text has size 16 and the crc32 of no bytes; an empty table gives an empty result. A very long text is only measured, where it lies. Other columns are not read, so their names
+do not matter.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ and a smaller start.
    which Spark pre-aggregates, so no task holds it.
 
 Odd rows: a null text is empty; texts under ``width`` bytes lose nothing. Documents are ordered by ``doc_id``, nulls last,
-and rows with the same or no ``doc_id`` by their text; equal rows keep one of them. An empty table gives an empty result.
+and rows with the same or no ``doc_id`` by their text; equal rows keep one of them. An empty table gives an empty result. A very long text is worked on in overlapping chunks.
+:func:`removed` reads no other columns; :func:`without_repeats` passes them on whatever their names.
 """
 
 from __future__ import annotations

@@ -59,15 +59,21 @@ def bare(word):
 
 
 def stems(docs, toxic):
-    """Stems by the rule of the quality operator; for tables no larger than its sample."""
-    docs_of, hits = Counter(), (Counter(), Counter())
-    for text, t in {(t, toxic[i]) for i, t in docs if i in toxic and t is not None}:
-        found = [{bare(w)[:k] for k in range(4, 10)} for w in WORD.findall(text) if bare(w)]
-        if t:
-            docs_of.update(set().union(*found))
-        for s in found:
-            hits[t].update(s)
-    return {s for s, n in docs_of.items() if n >= 8 and 20 * hits[1][s] >= 17 * (hits[0][s] + hits[1][s])}
+    """Stems by the rule of the quality operator, from ``(doc_id, text, lang)``; for tables no larger than its sample."""
+    out, texts = set(), {}
+    for text, lang, t in {(t, lang or "", toxic[i]) for i, t, lang in docs if i in toxic and t is not None}:
+        texts.setdefault(lang, []).append((text, t))
+    for own in texts.values():
+        docs_of, hits = Counter(), (Counter(), Counter())
+        for text, t in own:
+            found = [{bare(w)[:k] for k in range(4, 10)} for w in WORD.findall(text) if bare(w)]
+            if t:
+                docs_of.update(set().union(*found))
+            for s in found:
+                hits[t].update(s)
+        n_toxic = sum(t for _, t in own)
+        out |= {s for s, n in docs_of.items() if n * log10(len(own) / n_toxic) >= 5 and 250 * n >= n_toxic and 20 * hits[1][s] >= 17 * (hits[0][s] + hits[1][s])}
+    return out
 
 
 def removed(docs, width=100):
@@ -149,3 +155,37 @@ def kneser_ney(rows, mod=7, held=2):
         result.append((out(i), len(w), sum(uni[x] > 0 for x in w), total, sum(log10((uni[x] + 1) / (total + vocabulary + 1)) for x in w),
                        sum(log10(p(a, b)) for a, b in zip(["\t"] + w, w))))
     return result, p, list(uni)
+
+
+def kneser_ney_of_order(rows, order, mod=7, held=2):
+    """Scores of each (doc_id, text) by a model of any order, the probability ``p(context, word)``, and the training tokens."""
+    out = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % mod == held
+    tokens = lambda t: ["\t"] * (order - 1) + WORD.findall(lower(t or "")) + ["\n"]
+    grams = lambda w, k: [tuple(w[i - k + 1:i + 1]) for i in range(order - 1, len(w))]
+    counts = {order: Counter(g for i, t in rows if not out(i) for g in grams(tokens(t), order))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    uni = Counter()
+    for g, n in counts[order].items():
+        uni[g[-1]] += n
+
+    def discounts(values):
+        k = [sum(x == i for x in values) for i in range(1, 5)]
+        y = k[0] / (k[0] + 2 * k[1]) if k[0] else 0.5
+        d = [i - (i + 1) * y * k[i] / k[i - 1] if k[i - 1] else y for i in range(1, 4)]
+        return [0.0] + [min(max(x, 0.05), i - 0.05) for i, x in enumerate(d, 1)]
+    d = {k: discounts(list(c.values())) for k, c in counts.items()}
+    follow = {k: defaultdict(dict) for k in counts}
+    for k, c in counts.items():
+        for g, n in c.items():
+            follow[k][g[:-1]][g[-1]] = n
+
+    def p(context, w):
+        k = len(context) + 1
+        lower_p = p(context[1:], w) if k > 1 else 1 / (len(uni) + 1)
+        own = follow[k].get(context)
+        if not own:
+            return lower_p
+        s, n = sum(own.values()), own.get(w, 0)
+        return max(n - d[k][min(n, 3)], 0) / s + sum(d[k][min(x, 3)] for x in own.values()) / s * lower_p
+    return [sum(log10(p(g[:-1], g[-1])) for g in grams(tokens(t), order)) for _, t in rows], p, list(uni)

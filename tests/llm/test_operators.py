@@ -123,7 +123,7 @@ def test_quality_follows_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     lexicon = quality.learn(docs, labels)
-    assert lexicon.stems == brute.stems([(r.doc_id, r.text) for r in docs.collect()], {r.doc_id: r.toxic for r in labels.collect()})
+    assert lexicon.stems == brute.stems([(r.doc_id, r.text, r.lang) for r in docs.collect()], {r.doc_id: r.toxic for r in labels.collect()})
     got = quality.ledger(docs, lexicon=lexicon).withColumn("kept", quality.passes()).join(labels, "doc_id").collect()
     good = [r for r in got if r.quality == 1 and r.toxic == 0 and r.n_words >= 50]
     junk = [r for r in got if r.quality == 0]
@@ -147,13 +147,18 @@ def test_quality_judges_duplicate_lines_by_their_text(spark):
     assert book.filter(bits.isin(alone)).count() == 0
 
 
-def test_quality_sample_is_that_of_the_smallest_hashes(spark):
+def test_quality_sample_is_that_of_the_smallest_hashes(spark, monkeypatch):
     def first(ids):
-        rows = spark.createDataFrame([(i, 1) for i in ids], "id long, toxic long").withColumn("hash", F.md5(F.col("id").cast("string")))
-        return [r.id for r in quality._first(rows, 1, len(ids)).collect()]
-    order = lambda ids: sorted(ids, key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))[:quality.SAMPLE[1]]
-    for ids in ([], range(50), range(9000), [7] * 6000 + list(range(100))):
-        assert first(ids) == order(ids)
+        rows = spark.createDataFrame([(i, lang, 1) for lang, own in ids.items() for i in own], "id long, lang string, toxic long").withColumn("hash", F.md5(F.col("id").cast("string")))
+        found = {lang: [] for lang in ids}
+        for r in quality._smallest(rows).collect():
+            found[r.lang].append(r.id)
+        return {lang: sorted(own) for lang, own in found.items()}
+    smallest = lambda ids, n: sorted(sorted(ids, key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))[:n])
+    ids = {"none": [], "few": range(50), "many": range(9000), "one": [7] * 6000 + list(range(100))}
+    assert first(ids) == {lang: smallest(own, quality.SAMPLE[1]) for lang, own in ids.items()}
+    monkeypatch.setattr(quality, "SAMPLE_ALL", {0: 900, 1: 300})  # three languages have rows
+    assert first(ids) == {lang: smallest(own, 100) for lang, own in ids.items()}
 
 
 def test_quality_sample_is_of_labels_that_meet_a_text(spark, monkeypatch):
@@ -162,10 +167,10 @@ def test_quality_sample_is_of_labels_that_meet_a_text(spark, monkeypatch):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
     want = quality.learn(docs, labels).stems
     foreign = spark.range(1_000_000, 1_060_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
-    empty = spark.createDataFrame([(i, None) for i in range(-50, 0)], "doc_id long, text string")
+    empty = spark.createDataFrame([(i, None, "en") for i in range(-50, 0)], "doc_id long, text string, lang string")
     more = labels.unionByName(foreign).unionByName(empty.select("doc_id", F.lit(1).alias("toxic"))).unionByName(labels.where("toxic = 1"))
     monkeypatch.setattr(quality, "SAMPLE", {0: 8000, 1: labels.where("toxic = 1").count()})
-    assert len(want) > 20 and quality.learn(docs.select("doc_id", "text").unionByName(empty), more).stems == want
+    assert len(want) > 20 and quality.learn(docs.select("doc_id", "text", "lang").unionByName(empty), more).stems == want
 
 
 def test_quality_learns_stems_of_any_language(spark):
@@ -174,13 +179,15 @@ def test_quality_learns_stems_of_any_language(spark):
     rows = [(i, f"{filler(i)} {insults[i % 3]} {insults[(i + 1) % 3]} -- common", 1) for i in range(12)]
     rows += [(i, f"{filler(i)} common -- schule", 0) for i in range(12, 40)]
     rows += [(40, f"{filler(40)} schuft", 0), (41, None, 1), (42, "", 1), (42, "", 1), (None, f"{filler(43)} schufte schufte", 1), (44, "no label", None)]
-    docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, stem string")
+    rows += [(200 + i, f"{filler(i + 200)} (Botarate!) botarates", 1) for i in range(8)] + [(210 + i, f"{filler(i + 210)} botas", 0) for i in range(30)]
+    lang = lambda i: None if i is None or i < 200 else "es"
+    docs = spark.createDataFrame([(i, t, "x", lang(i)) for i, t, _ in rows], "doc_id long, text string, stem string, lang string")
     labels = spark.createDataFrame([(i, t) for i, _, t in rows] + [(99, 1), (98, 2)], "doc_id long, toxic int")
     lexicon = quality.learn(docs, labels)
-    assert lexicon.stems == {"schuf", "schuft"} | {s for s in lexicon.stems if s.startswith("schuft")}
-    assert lexicon.stems == brute.stems([(i, t) for i, t, _ in rows], {i: t for i, _, t in rows if i is not None and t is not None})
+    assert {"schuf", "schuft", "botar", "botarate"} <= lexicon.stems and all(s.startswith(("schuf", "bota")) for s in lexicon.stems) and "bota" not in lexicon.stems
+    assert lexicon.stems == brute.stems([(i, t, lang(i)) for i, t, _ in rows], {i: t for i, _, t in rows if i is not None and t is not None})
     kept = {r.doc_id for r in quality.keep_good(docs, lexicon=lexicon).collect()}
-    assert kept == set(range(12, 41))
+    assert kept == set(range(12, 41)) | set(range(210, 240))
     for none in (docs.limit(0), labels.limit(0)):
         assert not quality.learn(*((none, labels) if "text" in none.columns else (docs, none))).stems
 
@@ -405,6 +412,28 @@ def test_kneser_ney(spark, documents, rows):
         assert abs(sum(p(context, w) for w in vocabulary) + p(context, "no such word") - 1) < 1e-9
 
 
+@pytest.mark.parametrize("order", (2, 3, 4))
+def test_kneser_ney_of_any_order(spark, documents, rows, order, monkeypatch):
+    monkeypatch.setattr(lm, "MAPPED", 5)
+    want, p, vocabulary = brute.kneser_ney_of_order(rows, order)
+    got = lm.train_and_score(documents, order=order).collect()
+    assert sorted(key((r.doc_id, round(r.score, 6))) for r in got) == sorted(key((i, round(s, 6))) for (i, _), s in zip(rows, want))
+    for context in (("\t",) * (order - 1), ("never-seen",) * (order - 1), ("of", "the", "of")[:order - 1], ("\t", "never-seen", "the")[4 - order:]):
+        assert abs(sum(p(context, w) for w in vocabulary) + p(context, "no such word") - 1) < 1e-9
+
+
+def test_kneser_ney_merges_blobs_as_they_pass(spark, monkeypatch):
+    """Many small blocks, merged a few rows at a time, give the counts of one block."""
+    rows = [(i, " ".join(f"w{i * k % 7} the" for k in range(i % 40))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted((r.doc_id, round(r.score, 6)) for r in lm.train_and_score(docs, order=3).collect())
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 50)
+    monkeypatch.setattr(lm, "BLOCK_A_PART", 1)
+    monkeypatch.setattr(lm, "MERGE_ROWS", 20)
+    assert sorted((r.doc_id, round(r.score, 6)) for r in lm.train_and_score(docs, order=3).collect()) == want
+    assert want == sorted((i, round(s, 6)) for (i, _), s in zip(rows, brute.kneser_ney_of_order(rows, 3)[0]))
+
+
 def test_kneser_ney_beats_the_base(spark):
     got = lm.train_and_score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]

@@ -9,10 +9,11 @@ from tests.llm.test_operators import library
 
 def test_pipeline_against_brute_force(spark, model_path):
     sf = "/root/testdata/sf0.001"
-    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()]
+    every = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    docs = [(r.doc_id, r.text) for r in every]
     mask = quality.mask(quality.POLICIES[quality.CURRENT])
 
-    stems = quality.Lexicon(brute.stems(docs, {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}))
+    stems = quality.Lexicon(brute.stems([(r.doc_id, r.text, r.lang) for r in every], {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}))
 
     def good(text):
         m = dict(zip(quality.MEASURES, quality.measure(text, stems)))

@@ -180,12 +180,13 @@ def kneser_ney_of_order(rows, order, mod=7, held=2):
         for g, n in c.items():
             follow[k][g[:-1]][g[-1]] = n
 
+    about = {(k, v): (sum(own.values()), sum(d[k][min(x, 3)] for x in own.values())) for k, by in follow.items() for v, own in by.items()}
+
     def p(context, w):
         k = len(context) + 1
         lower_p = p(context[1:], w) if k > 1 else 1 / (len(uni) + 1)
-        own = follow[k].get(context)
-        if not own:
+        if context not in follow[k]:
             return lower_p
-        s, n = sum(own.values()), own.get(w, 0)
-        return max(n - d[k][min(n, 3)], 0) / s + sum(d[k][min(x, 3)] for x in own.values()) / s * lower_p
+        (s, kept), n = about[k, context], follow[k][context].get(w, 0)
+        return max(n - d[k][min(n, 3)], 0) / s + kept / s * lower_p
     return [sum(log10(p(g[:-1], g[-1])) for g in grams(tokens(t), order)) for _, t in rows], p, list(uni)

@@ -75,11 +75,35 @@ def test_full_job_writes_every_output(spark, scratch):
         assert _os.path.isdir(f"{scratch}/out/{sub}"), sub
     prod = spark.read.parquet(scratch + "/out/imagerec_prod")
     assert same_rows(prod.select(*run.production_table("ds", 1.0).columns), run.production_table("ds", 1.0))
+    for report in ("rejected_candidates", "top_values", "snapshot_counts_all", "suggestion_histogram_all", "found_on_median_all"):
+        assert spark.read.csv(f"{scratch}/out/reports/2021-01/{report}", header=True).columns
     search = spark.read.parquet(scratch + "/out/search_imagerec")
     assert sorted(r.wikiid for r in search.select("wikiid").distinct().collect()) == [
         "arwiki", "enwiki", "frwiki", "kowiki"]
 
 
+def test_job_with_commits_and_lookup(spark, scratch, capsys):
+    import json
+
+    import pytest
+    from picsel.operators import manifest as Mf
+    from picsel.plans.job import main, run_job
+    from picsel.plans.recommend import RecommendationRun
+    run = RecommendationRun.standin(spark, SF_SMALL)
+    out = scratch + "/out"
+    run_job(spark, run, out, "2021-01-25", "ds", 1.0, commit=True)
+    want = run.production_table("ds", 1.0)
+    assert same_rows(Mf.read(spark, out + "/imagerec_prod", want.schema), want) and same_rows(Mf.read(spark, out + "/imagerec", run.raw.schema), run.raw)
+    assert Mf.damaged(spark, out + "/imagerec_prod", want.schema, ["wiki", "snapshot"]).count() == 0
+    page = want.where("wiki = 'enwiki' and image_id is not null and is_article_page").first().page_id
+    capsys.readouterr()
+    main(["--out", out, "--snapshot", "2021-01-25", "--lookup", "enwiki", page])
+    rows = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert rows and {(r["wiki"], str(r["page_id"])) for r in rows} == {("enwiki", page)}
+    with pytest.raises(ValueError, match="registered"):
+        run_job(spark, run, out, "2021-01-25", database="x", commit=True)
+
+
 def test_large_partitions_are_spread_and_sorted(spark, scratch):
     run = run_for(spark, SF_SMALL)
     prod = run.production_table("ds", 1.0)

@@ -27,6 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from picsel.llm.common import stage
+
 WIDTH = 5
 SIMILARITY = 0.8
 BLOCKS = 8
@@ -190,8 +192,12 @@ class Index:
         return [(same.ids[i], value, w, size + width - 1) for i, (value, w) in sorted(best.items())]
 
 
-def _indexes(benchmark: DataFrame, block_bytes: int):
-    """One broadcast index for each block of the benchmark."""
+def _by_block(benchmark: DataFrame, block_bytes: int, search, name: str):
+    """``search(index)`` for the broadcast index of each block of the benchmark.
+
+    With several blocks each result is written before the next index is made, so the driver and the workers hold one index at a
+    time, however large the benchmark is.
+    """
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text") + F.lit(ITEM_BYTES))).first()[0] or 0
@@ -199,7 +205,12 @@ def _indexes(benchmark: DataFrame, block_bytes: int):
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(n, 1)))
     for k in range(n):
         rows = items.filter(block == k).distinct().collect()  # less than BLOCK_BYTES, whatever the benchmark's size
-        yield spark.sparkContext.broadcast(Index([tuple(r) for r in rows]))
+        index = spark.sparkContext.broadcast(Index([tuple(r) for r in rows]))
+        found = search(index)
+        if n > 1:
+            found = stage(found, f"{name}-{k}")
+            index.destroy()
+        yield found
 
 
 _FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("word_start", pa.int64()),
@@ -210,24 +221,32 @@ _FOUND_DDL = "doc_id long, item_id long, similarity double, word_start long, n_w
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, item_id, similarity, word_start, n_words`` of the best matching window of each document and item."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = docs.sparkSession.createDataFrame([], _FOUND_DDL)
-    for index in _indexes(benchmark, block_bytes):
-        def run(it, index=index):
+
+    def search(index):
+        def run(it):
             for batch in it:
                 rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
                         for m in index.value.matches(t, threshold)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _FOUND)], schema=_FOUND)
-        out = out.unionByName(source.mapInArrow(run, _FOUND_DDL))
+        return source.mapInArrow(run, _FOUND_DDL)
+
+    out = docs.sparkSession.createDataFrame([], _FOUND_DDL)
+    for found in _by_block(benchmark, block_bytes, search, "contaminated"):
+        out = out.unionByName(found)
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = SIMILARITY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` without any matching window."""
-    at = docs.columns.index("text")
-    for index in _indexes(benchmark, block_bytes):
-        def run(it, index=index):
+    at, left = docs.columns.index("text"), [docs]
+
+    def search(index):
+        def run(it):
             for batch in it:
                 yield batch.filter(pa.array([not index.value.matches(t, threshold) for t in batch.column(at).to_pylist()], pa.bool_()))
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return left[-1].mapInArrow(run, docs.schema)
+
+    for found in _by_block(benchmark, block_bytes, search, "clean"):
+        left.append(found)
+    return left[-1]

@@ -66,6 +66,56 @@ def item_image_candidates(pages: DataFrame) -> DataFrame:
         F.lit(K.NOTE_WIKIDATA).alias("note"))
 
 
+#: Wikis in one bitmap word (the sign bit stays free).
+WORD_BITS = 63
+
+
+def image_bitmaps(lead_images: DataFrame, wikis: list[str]) -> DataFrame:
+    """C2 in fixed space: per page and image ``n_wikis`` and bitmaps over ``wikis`` (sorted, one number each) instead of a list.
+
+    ``seen_J`` has the bit of each wiki that uses the image and ``odd_J`` of those that use it an odd number of times, both by word ``J``
+    of ``WORD_BITS`` wikis. So an image used once or twice by a wiki (its two lead-image properties) is told apart, with two words a
+    group that any map task can combine. ``exact`` is false where a wiki uses it more often, as with several pages of one item.
+    """
+    number = F.broadcast(lead_images.sparkSession.createDataFrame([(w, i // WORD_BITS, 1 << i % WORD_BITS) for i, w in enumerate(wikis)], "src_wiki string, word int, bit bigint"))
+    img = F.col("image")
+    rows = lead_images.where(~img.contains(" ") & (F.length(img) > 0) & is_valid_image_name(img)).join(number, "src_wiki")
+    words = range(-(-len(wikis) // WORD_BITS))
+    own = lambda j: F.when(F.col("word") == j, F.col("bit")).otherwise(F.lit(0).cast("bigint"))
+    out = rows.groupBy(*PAGE_KEYS, "image").agg(
+        F.count(F.lit(1)).alias("n_wikis"), *[F.bit_or(own(j)).alias(f"seen_{j}") for j in words], *[F.bit_xor(own(j)).alias(f"odd_{j}") for j in words])
+    counted = sum((F.bit_count(f"seen_{j}") + F.bit_count(F.col(f"seen_{j}").bitwiseXOR(F.col(f"odd_{j}"))) for j in words), F.lit(0))
+    return out.withColumn("exact", F.col("n_wikis") == counted)
+
+
+def _unfolded(wikis: list[str]) -> Column:
+    """The wikis of a row of :func:`image_bitmaps`, sorted, those with an even count twice."""
+    names = []
+    for j in range(-(-len(wikis) // WORD_BITS)):
+        part = F.array(*[F.lit(w) for w in wikis[j * WORD_BITS:(j + 1) * WORD_BITS]])
+        times = lambda i, j=j: F.getbit(F.col(f"seen_{j}"), i) + F.getbit(F.col(f"seen_{j}").bitwiseXOR(F.col(f"odd_{j}")), i)
+        names.append(F.flatten(F.transform(part, lambda w, i: F.array_repeat(w, times(i).cast("int")))))
+    return F.concat(*names) if names else F.array().cast("array<string>")
+
+
+def rank_lead_images_by_bitmap(lead_images: DataFrame, wikis: list[str], k: int = K.TOP_K) -> DataFrame:
+    """C2 and C3 without a list before the ranking: images are ranked by their bitmaps' counts, and only the ``k`` best of a page have their
+    wikis unfolded. The best images whose bitmaps do not tell all repetitions get their lists from the leads themselves.
+
+    ``wikis`` are those of ``lead_images``, sorted: one entry a wiki, held by the driver.
+    """
+    best = image_bitmaps(lead_images, wikis)
+    order = Window.partitionBy(*PAGE_KEYS).orderBy(F.col("n_wikis").desc(), F.col("image").asc())
+    best = best.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k)
+    columns = [*PAGE_KEYS, "image", "rn"]
+    told = best.where("exact").select(*columns, _unfolded(wikis).alias("wikis"))
+    rest = best.where("not exact").select(*columns)
+    listed = lead_images.join(rest, [*PAGE_KEYS, "image"]).groupBy(*columns).agg(F.array_sort(F.collect_list("src_wiki")).alias("wikis"))
+    return told.unionByName(listed).select(
+        *PAGE_KEYS, "image", (F.lit(K.RATING_WIKIS_BASE) + (F.col("rn") - 1).cast("double") / F.lit(10.0)).alias("rating"),
+        F.concat(F.lit(K.NOTE_WIKIPEDIA_PREFIX), F.concat_ws(", ", "wikis")).alias("note"))
+
+
 def draw_category_images(pages: DataFrame, category_files: DataFrame, seed: str = K.DEFAULT_DRAW_SEED,
                          numbered: DataFrame | None = None) -> DataFrame:
     """C4: min(n_listed, 3) seeded draws with replacement among the category's dotted titles; distinct

@@ -180,6 +180,15 @@ class RecommendationRun:
         keys = S.eligible_pages(self.pool.pages).select(*P.PAGE_KEYS)
         return self.pool.lead_images.join(keys, P.PAGE_KEYS, "left_semi")
 
+    @cached_property
+    def lead_wikis(self) -> list[str]:
+        """The wikis that have lead images, sorted (one entry a wiki)."""
+        return sorted(r.src_wiki for r in self.pool.lead_images.select("src_wiki").distinct().collect())
+
+    def ranked_leads(self) -> DataFrame:
+        """C2 and C3."""
+        return S.rank_lead_images_by_bitmap(self.eligible_leads, self.lead_wikis)
+
     def pool_rows(self) -> DataFrame:
         """B13."""
         return P.candidate_pool(self.pool)
@@ -191,7 +200,7 @@ class RecommendationRun:
         eligible = S.eligible_pages(pool.pages)
         return S.merge_sources(
             S.draw_category_images(eligible, pool.category_files, self.seed, self.numbered_category_images),
-            S.rank_lead_images(S.images_by_wiki(self.eligible_leads)),
+            self.ranked_leads(),
             S.item_image_candidates(eligible),
         )
 

@@ -214,7 +214,7 @@ def _q_images_by_wiki(spark, sf):
 
 
 def _q_rank_lead_images(spark, sf):
-    return S.rank_lead_images(S.images_by_wiki(_eligible_leads(run_for(spark, sf))))
+    return run_for(spark, sf).ranked_leads()
 
 
 def _q_draw_category_images(spark, sf):

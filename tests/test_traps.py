@@ -266,3 +266,23 @@ def test_depicts_with_odd_entries(spark):
 def test_description_classes_apart_by_more_spaces():
     assert H.description(H.parse('<div class=" description  mw-content-ltr\ten">x</div>'), "en", "ltr") == "x"
     assert H.description(H.parse('<div class="mw-content-ltr description en">x</div>'), "fr", "ltr") is None
+
+
+def test_lead_images_by_bitmap(spark, monkeypatch):
+    """The same ranks and notes as from lists: wikis once, twice and more often, over several bitmap words."""
+    import random
+    rng = random.Random(4)
+    wikis = sorted({f"w{rng.randrange(10 ** 6)}wiki" for _ in range(70)})
+    rows = [("enwiki", rng.randrange(40), rng.choice(wikis), f"I{rng.randrange(6)}.jpg") for _ in range(1500)]
+    rows += [("enwiki", 99, wikis[0], "Twice.jpg")] * 2 + [("enwiki", 99, wikis[-1], "Twice.jpg")] + [("enwiki", 98, wikis[62 + i], "Edge.jpg") for i in range(3)]
+    rows += [("enwiki", 97, wikis[1], "Often.jpg")] * 3 + [("enwiki", 97, wikis[2], "a b.jpg"), ("enwiki", 97, wikis[2], "Flag.jpg"), ("enwiki", 97, wikis[2], "")]
+    leads = spark.createDataFrame(rows, "wiki_db string, page_id bigint, src_wiki string, image string")
+    want = sorted(map(tuple, S.rank_lead_images(S.images_by_wiki(leads)).collect()))
+    for bits in (S.WORD_BITS, 7):
+        monkeypatch.setattr(S, "WORD_BITS", bits)
+        assert sorted(map(tuple, S.rank_lead_images_by_bitmap(leads, wikis).collect())) == want
+        flags = {r.image: r.exact for r in S.image_bitmaps(leads, wikis).where("page_id in (97, 99)").collect()}
+        assert flags == {"Twice.jpg": True, "Often.jpg": False}
+    assert S.rank_lead_images_by_bitmap(leads.limit(0), []).count() == 0
+    plan = S.image_bitmaps(leads, wikis)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "ObjectHashAggregate" not in plan

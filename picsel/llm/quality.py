@@ -38,6 +38,7 @@ _ABUSIVE = frozenset(w.encode() for w in ABUSIVE)
 
 #: Labelled documents that are learned from, by label (0: clean, 1: toxic): of each language, and of all together.
 SAMPLE, SAMPLE_ALL = {0: 8000, 1: 2000}, {0: 80_000, 1: 20_000}
+SLICES = 256
 #: Lengths of stems.
 LENGTHS = range(4, 10)
 #: A stem must be in so many toxic texts that the chance of drawing as many among its language's texts is under 10 ** -SURPRISE, and
@@ -184,8 +185,9 @@ def _count_stems(it):
 def _smallest(rows: DataFrame) -> DataFrame:
     """Of ``id, lang, toxic, hash``, the sample of each language and label: the rows with the smallest hash.
 
-    Only hashes that can be among the smallest (half as many again as needed, on average) are ranked, so that the ranking task of a language
-    does not grow with the table. Should they be too few, as where an id repeats, all are.
+    Only hashes that can be among the smallest (half as many again as needed, on average) are read on. Should they be too few, as where an id
+    repeats, all are. The range of hashes is cut into slices; whole slices are taken or left by their counts, and only rows of a slice are
+    ranked against each other, so no task gets a whole language.
     """
     spark, part = rows.sparkSession, F.conv(F.substring("hash", 1, 12), 16, 10).cast("long")
     counts = {(r.lang, r.toxic): r["count"] for r in rows.groupBy("lang", "toxic").count().collect()}  # two rows a language
@@ -199,8 +201,13 @@ def _smallest(rows: DataFrame) -> DataFrame:
     if any(cut < 1 << 48 for cut in cuts.values()):
         found = {(r.lang, r.toxic): r["count"] for r in near().groupBy("lang", "toxic").count().collect()}
         cuts = {k: cut if found.get(k, 0) >= min(size[k[1]], counts[k]) else 1 << 48 for k, cut in cuts.items()}
-    order = Window.partitionBy("lang", "toxic").orderBy("hash", "id")
-    return near().withColumn("place", F.row_number().over(order)).filter(F.col("place") <= F.col("size")).select("id", "lang", "toxic")
+    rows_near = near().withColumn("slice", F.expr(f"CAST(conv(substring(hash, 1, 12), 16, 10) AS BIGINT) * {SLICES} div (cut + 1)"))
+    before = Window.partitionBy("lang", "toxic").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = rows_near.groupBy("lang", "toxic", "slice").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # SLICES rows a language and label at most
+    inside = rows_near.join(F.broadcast(slices.drop("n")), ["lang", "toxic", "slice"]).filter(F.col("before") < F.col("size"))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("lang", "toxic", "slice").orderBy("hash", "id"))
+    return inside.withColumn("place", place).filter(F.col("place") <= F.col("size")).select("id", "lang", "toxic")
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Lexicon:

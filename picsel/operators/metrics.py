@@ -248,12 +248,13 @@ def value_sketches(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     marked = [F.coalesce(F.concat(F.lit("v"), c), F.lit("n")).alias(n) for n, c in _as_text(df).items()]
     rows = df.select(*[F.col(b).alias(f"_by_{b}") for b in by], *marked)
     sketches = [F.call_function("approx_top_k_accumulate", F.col(f"`{n}`"), F.lit(TRACKED)).alias(n) for n in df.columns]
-    return rows.groupBy(*[f"_by_{b}" for b in by]).agg(*sketches, F.count(F.lit(1)).alias("_n"))
+    # grouped even without ``by``: Spark can't merge the sketch of a task that had no row, and a group has one
+    return rows.groupBy(F.lit(0).alias("_all"), *[f"_by_{b}" for b in by]).agg(*sketches, F.count(F.lit(1)).alias("_n"))
 
 
 def likely_values(sketches: DataFrame, columns: list[str]) -> DataFrame:
     """``column, value`` of the values that the merged sketches list: at most ``TRACKED`` a column."""
-    merged = sketches.agg(*[F.call_function("approx_top_k_combine", F.col(f"`{n}`"), F.lit(TRACKED)).alias(n) for n in columns])
+    merged = sketches.groupBy("_all").agg(*[F.call_function("approx_top_k_combine", F.col(f"`{n}`"), F.lit(TRACKED)).alias(n) for n in columns])
     listed = F.array(*[F.struct(F.lit(n).alias("column"), F.transform(F.call_function("approx_top_k_estimate", F.col(f"`{n}`"), F.lit(TRACKED)), lambda x: x["item"]).alias("items"))
                        for n in columns])
     rows = merged.select(F.explode(listed).alias("c")).select("c.column", F.explode("c.items").alias("item"))

@@ -184,3 +184,11 @@ def test_metric_state_reads_a_new_snapshot_once(spark, scratch):
     sizes = E.found_on_sizes(prod).unionByName(E.found_on_sizes(older))
     (got,) = E.checked_quantile(Ms.found_on_median(spark, state), sizes, "num_languages", E.SKETCH_ERROR).collect()
     assert got.within_bound and Ms.found_on_median(spark, state, ("wiki",)).count() <= wikis
+
+
+@pytest.mark.parametrize("by", ((), ("part",)))
+def test_frequency_sketches_of_tasks_without_rows(spark, by):
+    df = spark.range(30).select((F.col("id") % 4).alias("v"), (F.col("id") % 2).alias("part")).repartition(60)
+    likely = E.likely_values(E.value_sketches(df, by).repartition(40), df.columns)
+    assert {tuple(r) for r in likely.collect()} == {("v", str(v)) for v in range(4)} | {("part", "0"), ("part", "1")}
+    assert E.likely_values(E.value_sketches(df.limit(0), by), df.columns).count() == 0

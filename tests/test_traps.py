@@ -6,6 +6,7 @@ from picsel import constants as K
 from picsel.functions import columns as C
 from picsel.functions import html_extract as H
 from picsel.operators import metrics as E
+from picsel.operators import page_metadata as M
 from picsel.operators import pool as P
 from picsel.operators import publish as D
 from picsel.operators import selection as S
@@ -286,3 +287,20 @@ def test_lead_images_by_bitmap(spark, monkeypatch):
     assert S.rank_lead_images_by_bitmap(leads.limit(0), []).count() == 0
     plan = S.image_bitmaps(leads, wikis)._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_pages_are_never_broadcast_to_their_images(spark):
+    """Built or packed page text is estimated far too small; with a high static limit a plan would gather it on the driver."""
+    pages = spark.range(50).select(F.concat(F.lit("u"), "id").alias("url"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("<p>"), "id")).alias("html"))
+    images = spark.range(60).select(F.lit("enwiki").alias("wiki_db"), F.col("id").cast("string").alias("image"), F.lit("en").alias("language"),
+                                    F.concat(F.lit("u"), "id").alias("url"), F.lit("ltr").alias("direction"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(1 << 30))
+    try:
+        out = M.image_metadata(images, pages)
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+        rows = out.collect()
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(rows) == 60 and sorted(int(r.image) for r in rows if r.depicts is not None) == list(range(0, 50, 2))

@@ -289,6 +289,43 @@ def test_lead_images_by_bitmap(spark, monkeypatch):
     assert "collect_list" not in plan and "ObjectHashAggregate" not in plan
 
 
+def test_plain_markup_gives_the_tree_of_the_parser():
+    import random
+
+    def shape(e):
+        return e if isinstance(e, str) else (e.tag, e.attrs, [shape(c) for c in e.children])
+
+    def parsed(html):
+        b = H._TreeBuilder()
+        b.feed(html)
+        b.close()
+        return shape(b.root)
+
+    parts = ["<div>", "</div>", '<div class="a  b" lang=\'x "y"\'>', '<DIV Class="A" class="2">', "<br>", "<br/>", "</p>", "<p\n id='1>2'>", "text ", "a &amp; b", "&lt", "&lt;i&gt;", "<", ">",
+             "< b", "<!-- c -->", "<td a=1>", "<td hidden>", "<a href='?x=1&amp;y'>", "<a href='?x&copy=1'>", "<script>", "</script>", "<title>", "</title>", "<b", '"', "é\u00a0", "</div >", "<x-y z='1'>", "\r\n"]
+    draw = random.Random(3)
+    plain = 0
+    for i in range(6000):
+        few = parts[:4] + parts[8:10] + parts[11:12] if i % 2 else parts
+        html = "".join(draw.choice(few) for _ in range(draw.randint(1, 7)))
+        fast = H._plain_tree(html)
+        plain += fast is not None
+        assert fast is None or shape(fast) == parsed(html), html
+        assert shape(H.parse(html)) == parsed(html), html
+    assert plain > 1500
+
+
+def test_file_pages_are_dealt_out_before_they_are_built(spark, scratch):
+    """One small file of keys is one split: its pages would all be parsed in one task."""
+    from picsel.sources import standins
+    n = 3 * standins.FILE_KEYS_PER_TASK
+    spark.range(n).select(F.col("id").alias("p_partkey")).coalesce(1).write.parquet(f"{scratch}/part.parquet")
+    pages = standins.StandIns(spark, scratch).file_pages
+    sizes = [r["count"] for r in pages.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 3 and sum(sizes) == 4 * n and max(sizes) < 1.1 * 4 * n / 3
+    assert pages.select("url").distinct().count() == 4 * n
+
+
 def test_pages_are_never_broadcast_to_their_images(spark):
     """Built or packed page text is estimated far too small; with a high static limit a plan would gather it on the driver."""
     pages = spark.range(50).select(F.concat(F.lit("u"), "id").alias("url"), F.when(F.col("id") % 2 == 0, F.concat(F.lit("<p>"), "id")).alias("html"))
